@@ -14,8 +14,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def queries() -> dict[str, Query]:
     return {
+        "p1_found": p.p1_found,
+        "p1_table": p.p1_table,
+        "p1_unions": p.p1_unions,
         "p2_found": p.p2_found,
         "p2_bars": p.p2_bars,
+        "p3_found": p.p3_found,
         "p4_found": p.p4_found,
         "p5_found": p.p5_found,
         "p5_averages": p.p5_averages,
@@ -26,6 +30,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p3_found": sql.P3_FOUND,
         "p4_found": sql.P4_FOUND,
         "p5_found": sql.P5_FOUND,
         "p5_averages": sql.P5_AVERAGES,

@@ -2,6 +2,49 @@
 
 from marketloom.functions.fundamentals import METRIC_ALIASES
 
+
+def _p3(table: str, field: str, source: str, at: str, level: bool) -> str:
+    bad = f"isinf(x) OR x {'<= 0' if level else '< 0'}"
+    far = (
+        "(NOT bad AND b IS NOT NULL AND a IS NOT NULL AND least(abs(x / b - 1), abs(x / a - 1)) > 20 * scale)"
+        if level
+        else "(NOT bad AND x > 25 * scale)"
+    )
+    near = "" if not level else """,
+  inside AS (SELECT s, t, list_median(list(x) OVER (PARTITION BY s ORDER BY t ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)) AS b,
+                    list_median(list(x) OVER (PARTITION BY s ORDER BY t ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)) AS a
+             FROM judged WHERE NOT bad)"""
+    scale = "median(abs(x / p - 1)) FILTER (x <> p)" if level else "median(x) FILTER (x <> 0)"
+    return f"""
+SELECT '{table}' AS table_name, '{field}' AS field_name, load_seq FROM (
+  WITH raw AS (SELECT {source} AS s, {at} AS t, load_seq, {field} AS x, coalesce({bad.replace("x ", field + " ").replace("(x)", f"({field})")}, false) AS bad FROM {table} WHERE {field} IS NOT NULL AND NOT isnan({field}) AND {at} IS NOT NULL),
+  judged AS (SELECT s, t, arg_min(x, load_seq) AS x, arg_min(bad, load_seq) AS bad FROM raw GROUP BY s, t),
+  good AS (SELECT *, lag(x) OVER (PARTITION BY s ORDER BY t) AS p FROM judged WHERE NOT bad),
+  scales AS (SELECT s, {scale} AS scale FROM good GROUP BY s),
+  reps AS (SELECT *, coalesce(x = lag(x) OVER (PARTITION BY s ORDER BY t), false) AS rep FROM judged),
+  runs AS (SELECT *, sum(CASE WHEN rep THEN 0 ELSE 1 END) OVER (PARTITION BY s ORDER BY t) AS run FROM reps),
+  stuck AS (SELECT s, t, x AS jx, rep AND count(*) OVER (PARTITION BY s, run) >= 8 AND avg(CASE WHEN rep THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY s) < 0.2 AS stuck FROM runs){near}
+  SELECT load_seq FROM raw JOIN stuck USING (s, t) LEFT JOIN scales USING (s){" LEFT JOIN inside USING (s, t)" if level else ""}
+  WHERE bad OR coalesce({far}, false) OR (stuck AND x = jx))"""
+
+
+# The ways a NAV date is written, for DuckDB.
+_NAV_DAY = """coalesce(
+  CASE WHEN regexp_full_match(d, '[0-9]{13}') THEN CAST((CAST(d AS BIGINT) * 1000 + 19800000000) // 86400000000 AS INTEGER) + DATE '1970-01-01' END,
+  CASE WHEN d LIKE '%T%' AND regexp_matches(d, '^[0-9]{4}-') THEN CAST((epoch_us(TRY_CAST(d AS TIMESTAMPTZ)) + 19800000000) // 86400000000 AS INTEGER) + DATE '1970-01-01' END,
+  CASE WHEN regexp_matches(d, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') AND d NOT LIKE '%T%' THEN TRY_CAST(d[1:10] AS DATE) END,
+  CAST(try_strptime(d, ['%d-%m-%Y', '%d/%m/%Y', '%d-%b-%Y', '%d %b %Y', '%d %B %Y']) AS DATE),
+  CASE WHEN regexp_full_match(d, '[0-9]{8}') THEN CAST(try_strptime(d, '%Y%m%d') AS DATE) END)"""
+
+P3_FOUND = (
+    f"WITH nav_history AS (SELECT load_seq, scheme_code, nav, {_NAV_DAY} AS day FROM (SELECT load_seq, scheme_code, nav, trim(nav_date) AS d FROM nav_history))\n"
+    + "\nUNION ALL\n".join([
+        _p3("hourly_prices", "close", "(symbol, feed_id)", "timestamp", True),
+        _p3("hourly_prices", "volume", "(symbol, feed_id)", "timestamp", False),
+        _p3("nav_history", "nav", "scheme_code", "day", True),
+    ])
+)
+
 P4_FOUND = """
 WITH v AS (SELECT * FROM market_returns WHERE day_return IS NOT NULL AND NOT isnan(day_return) AND series_name IN ('nifty', 'usdinr', 'nasdaq'))
 SELECT event_id,

@@ -5,12 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.operators import eav, known_at, rolling, stamps
+from marketloom.operators import drift, eav, known_at, rolling, spikes, stamps
 from marketloom.session import table
 
 RETURN_FIELDS = {"nifty": "nifty_day_return", "usdinr": "usdinr_day_return", "nasdaq": "nasdaq_overnight_return"}
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, kinds, renamed = drift.infer(table(spark, sf_dir, "screener_files"))
+    return drift.changes(kinds, renamed)
+
+
+def p1_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.consistent_rows(table(spark, sf_dir, "screener_files"))
+
+
+def p1_unions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.unions(table(spark, sf_dir, "screener_files"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = table(spark, sf_dir, "hourly_feed").select("load_seq", F.col("timestamp").alias("raw"), "feed_zone")
     nav = table(spark, sf_dir, "nav_history").select("load_seq", F.col("nav_date").alias("raw"))
@@ -26,6 +39,18 @@ def p2_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamps.normalise(feed, "timestamp", "utc_us", zone_col="feed_zone", as_text=False).select("load_seq", "symbol", F.timestamp_micros("utc_us").alias("ts"), "open", "close", "volume")
 
 
+P3_RULES = {("hourly_prices", "close"): spikes.LEVEL, ("hourly_prices", "volume"): spikes.AMOUNT, ("nav_history", "nav"): spikes.LEVEL}
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prices = table(spark, sf_dir, "hourly_prices").select("symbol", "feed_id", "timestamp", "load_seq", "close", "volume")
+    nav = stamps.normalise(table(spark, sf_dir, "nav_history").select("scheme_code", "nav_date", "load_seq", "nav"), "nav_date", "day", dates=True, as_text=False)
+    of = lambda t: {f: r for (n, f), r in P3_RULES.items() if n == t}
+    bars = spikes.readings(prices, "hourly_prices", of("hourly_prices"), ["symbol", "feed_id"], F.unix_micros("timestamp"), "load_seq")
+    navs = spikes.readings(nav, "nav_history", of("nav_history"), ["scheme_code"], F.col("day") * F.lit(86_400_000_000), "load_seq")
+    return spikes.flag(bars.unionByName(navs), P3_RULES)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "gap_vector").select("event_id", "event_time")
     returns = table(spark, sf_dir, "market_returns").where(F.col("series_name").isin(*RETURN_FIELDS))
