@@ -24,6 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketloom.session import checkpoint_dir
 from marketloom.functions.fundamentals import MONTHS, period_name, plain_number
 
 FILE = ["feed_id", "file_no"]
@@ -132,8 +133,12 @@ def renames(c: DataFrame, k: DataFrame) -> DataFrame:
     both = came.join(went, FILE)  # fields of one file against fields of the file before: a few by a few
     by_part = both.where(F.col("part_before") == F.col("part_after")).select(*FILE, "field_before", "field_after", F.lit(2.0).alias("share"), F.lit(1).alias("m"))
     other = both.where(F.col("part_before").isNull() & F.col("part_after").isNull())
-    keys = _row_keys(c, k)
-    values = c.where(F.col("canonical").isNotNull()).select(*FILE, "row_no", "field", "canonical").join(keys, [*FILE, "row_no"]).drop("row_no")
+    # the records of the files concerned are read once more, for the fields compared and those that name a row
+    sides = other.select("feed_id", F.col("prev_file").alias("file_no"), F.col("field_before").alias("field")).unionByName(other.select(*FILE, F.col("field_after").alias("field"))).distinct()
+    named = k.where(F.col("part").isin("symbol", "period")).join(sides.select(*FILE).distinct(), FILE, "left_semi").select(*FILE, "field")
+    wanted = c.where(F.col("canonical").isNotNull()).select(*FILE, "row_no", "field", "canonical").join(sides.unionByName(named).distinct(), [*FILE, "field"], "left_semi").checkpoint()
+    keys = _row_keys(wanted, k)
+    values = wanted.join(keys, [*FILE, "row_no"]).drop("row_no")
     before = values.select("feed_id", F.col("file_no").alias("prev_file"), F.col("field").alias("field_before"), "key", F.col("canonical").alias("was"))
     after = values.select("feed_id", "file_no", F.col("field").alias("field_after"), "key", F.col("canonical").alias("is"))
     by_value = (
@@ -169,9 +174,10 @@ def changes(k: DataFrame, renamed: DataFrame) -> DataFrame:
 
 def infer(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cells, kinds by file, renames) of the files."""
+    checkpoint_dir(files.sparkSession)
     c = cells(files)
-    k = kinds_by_file(paths(c))
-    return c, k, renames(c, k)
+    k = kinds_by_file(paths(c)).checkpoint()
+    return c, k, renames(c, k).checkpoint()
 
 
 def lineage(k: DataFrame, renamed: DataFrame) -> DataFrame:
