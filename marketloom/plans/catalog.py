@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.plans import problem_oracles as sql
 from marketloom.plans import problems as p
-
-Query = Callable[[SparkSession, str], DataFrame]
+from marketloom.plans import series_queries
+from marketloom.plans.registry import ORACLES, QUERIES, Query
 
 
 def queries() -> dict[str, Query]:
@@ -25,7 +23,7 @@ def queries() -> dict[str, Query]:
         "p5_averages": p.p5_averages,
         "p6_found": p.p6_found,
         "p6_wide": p.p6_wide,
-    }
+    } | QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
@@ -35,4 +33,8 @@ def oracle_sql() -> dict[str, str]:
         "p5_found": sql.P5_FOUND,
         "p5_averages": sql.P5_AVERAGES,
         "p6_found": sql.P6_FOUND,
-    }
+    } | ORACLES
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series_queries.downside(spark, sf_dir)
