@@ -7,6 +7,8 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marketloom.functions.fundamentals import SPACE
+
 INDIA = "Asia/Kolkata"
 # Depositary receipts by home symbol, and the stance of each signal.
 ADR_TICKERS = {"INFY": "INFY", "TCS": "TCSFY", "WIPRO": "WIT"}
@@ -76,10 +78,15 @@ def finite_or_zero(x: Column) -> Column:
 
 def figure(text: Column) -> Column:
     """A figure of a fundamentals page: grouping and percent sign dropped, dashes and words null."""
-    t = F.trim(F.translate(text, ",%", ""))
+    t = strip(F.translate(text, ",%", ""))
     return finite(F.when(t.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), t.try_cast("double")))
 
 
+def strip(text: Column) -> Column:
+    """No white space of any kind at the ends."""
+    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+
+
 def flag(text: Column) -> Column:
     return F.trim(text).isin(*TRUE_TEXTS)
 
