@@ -35,7 +35,7 @@ def next_bars(origins: DataFrame, n: int, keys: list[str], zone: str = INDIA) ->
     at the next session's start. Each origin folds n steps on the JVM side.
     """
     local_us = lambda ts: F.unix_micros(F.from_utc_timestamp(ts, zone))
-    day_us, min_us = F.lit(86_400_000_000), F.lit(60_000_000)
+    day_us, min_us = F.lit(86_400_000_000), F.lit(60_000_000).cast("long")
 
     def settle(t: Column) -> Column:
         """The first instant at or after t inside a session."""

@@ -15,11 +15,11 @@ from marketloom.operators.dedupe import keep_last
 SOURCE = ["symbol", "feed_id"]
 
 
-def clean_bars(prices: DataFrame, order: tuple[str, ...] = ("ingested_at", "load_seq")) -> DataFrame:
+def clean_bars(prices: DataFrame, order: tuple[str, ...] = ("ingested_at", "load_seq"), carry: list[str] | None = None) -> DataFrame:
     """(symbol, feed_id, ts, open, close, volume): sound bars, the last loaded of each instant."""
     ok = (finite(F.col("close")) > 0) & (finite(F.col("open")) > 0) & (finite(F.col("volume")) >= 0)
     rows = prices.where(ok & F.col("timestamp").isNotNull()).withColumnRenamed("timestamp", "ts")
-    return keep_last(rows, [*SOURCE, "ts"], list(order)).select(*SOURCE, "ts", "open", "close", "volume")
+    return keep_last(rows, [*SOURCE, "ts"], list(order)).select(*SOURCE, "ts", "open", "close", "volume", *(carry or []))
 
 
 def in_time(source: list[str] = SOURCE, ts: str = "ts") -> WindowSpec:

@@ -77,11 +77,11 @@ def prj16(spark, d):
     return table(spark, d, "nav_history").select("load_seq", m.first_filled(F.col("isin"), F.lit("none")).alias("isin"), m.finite_or_zero(F.col("nav")).alias("nav"))
 
 
-@query("prj18_math", f"WITH {BARS} SELECT symbol, feed_id, ts, round(ln(close), 8) AS l, round(ln(1 + volume), 8) AS l1, round(exp(-close / 1e4), 8) AS e, round((exp(2 * (close / open - 1)) - 1) / (exp(2 * (close / open - 1)) + 1), 8) AS th, CAST(sign(close - open) AS DOUBLE) AS sg, greatest(-1.0, least(1.0, (close - open) * 10)) AS cl FROM bars")
+@query("prj18_math", f"WITH {BARS} SELECT symbol, feed_id, ts, round(ln(close), 8) AS l, round(ln(1 + volume), 8) AS l1, round(exp(-close / 1e4), 8) AS e, round((exp(2 * least(5.0, close / open - 1)) - 1) / (exp(2 * least(5.0, close / open - 1)) + 1), 8) AS th, CAST(sign(close - open) AS DOUBLE) AS sg, greatest(-1.0, least(1.0, (close - open) * 10)) AS cl FROM bars")
 def prj18(spark, d):
     c, o = F.col("close"), F.col("open")
     r = lambda x, n: F.round(x, 8).alias(n)
-    return bars(spark, d).select(*KEY, r(F.ln(c), "l"), r(F.log1p("volume"), "l1"), r(F.exp(-c / 1e4), "e"), r(F.tanh(c / o - 1), "th"), F.signum(c - o).alias("sg"), m.clip((c - o) * 10, -1.0, 1.0).alias("cl"))
+    return bars(spark, d).select(*KEY, r(F.ln(c), "l"), r(F.log1p("volume"), "l1"), r(F.exp(-c / 1e4), "e"), r(F.tanh(F.least(F.lit(5.0), c / o - 1)), "th"), F.signum(c - o).alias("sg"), m.clip((c - o) * 10, -1.0, 1.0).alias("cl"))
 
 
 @query("prj19_finite", "SELECT load_seq, CASE WHEN isfinite(close) THEN close END AS close, CASE WHEN isfinite(volume) THEN volume ELSE 0.0 END AS volume FROM hourly_prices")
