@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.functions.market import finite, finite_or_zero, label, signed_strength, stance
 from marketloom.operators.features import CONTEXT, HORIZON, MODEL_COLUMNS
@@ -31,20 +32,22 @@ def drift(windows: np.ndarray, horizon: int = HORIZON, reach: int = 120) -> np.n
 def sliding(features: DataFrame, forecaster: Forecaster = drift, context: int = CONTEXT, origins: str = "all", source: list[str] = SOURCE, batch: int = 256) -> DataFrame:
     """(source..., ts, returns): the forecast at every bar with a full context (``origins='last'``: the latest only)."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
-        x = pdf[MODEL_COLUMNS].to_numpy(float)
+    schema = T.StructType([*(features.schema[c] for c in (*source, "ts")), T.StructField("returns", T.ArrayType(T.DoubleType()))])
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("ts")
         if origins == "last":
-            pdf, x = pdf.iloc[-context:], x[-context:]
-        if len(x) < context:
-            return pd.DataFrame({**{c: [] for c in source}, "ts": pd.Series([], dtype="datetime64[ns]"), "returns": pd.Series([], dtype=object)})
-        windows = np.lib.stride_tricks.sliding_window_view(x, context, axis=0).transpose(0, 2, 1)
-        out = np.concatenate([forecaster(windows[i : i + batch]) for i in range(0, len(windows), batch)])
-        kept = pdf.iloc[context - 1 :]
-        return pd.DataFrame({**{c: kept[c].to_numpy() for c in source}, "ts": kept["ts"].to_numpy(), "returns": out.tolist()})
-
-    kinds = ", ".join(f"`{c}` {features.schema[c].dataType.simpleString()}" for c in source)
-    return features.select(*source, "ts", *MODEL_COLUMNS).groupBy(*source).applyInPandas(run, f"{kinds}, ts timestamp, returns array<double>")
+            t = t.slice(max(0, t.num_rows - context))
+        kept, out = t.slice(t.num_rows), np.zeros((0, 1))
+        if t.num_rows >= context:
+            x = np.column_stack([t.column(c).to_numpy() for c in MODEL_COLUMNS]).astype(float)
+            windows = np.lib.stride_tricks.sliding_window_view(x, context, axis=0).transpose(0, 2, 1)
+            out = np.concatenate([forecaster(windows[i : i + batch]) for i in range(0, len(windows), batch)])
+            kept = t.slice(context - 1)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.ravel()))
+        return pa.Table.from_arrays([*kept.select([*source, "ts"]).columns, lists], names=schema.names)
+
+    return features.select(*source, "ts", *MODEL_COLUMNS).groupBy(*source).applyInArrow(run, schema)
 
 
 def steps(forecasts: DataFrame, keys: list[str]) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.functions.market import finite_or_zero
 from marketloom.operators.features import GAP_COLUMNS, GAP_MARKET, GAP_OWN
@@ -70,16 +71,21 @@ def fit(training: DataFrame, source: list[str] = SOURCE) -> DataFrame:
     A group is one source's session opens: a few hundred rows a year.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = {c: [pdf[c].iloc[0]] for c in source}
-        if len(pdf) < LEAST_ROWS:
-            return pd.DataFrame({**{c: [] for c in head}, "n": [], "alpha": [], "intercept": [], "coefficients": pd.Series([], dtype=object)})
-        pdf = pdf.sort_values("ts")
-        coef, icept, alpha = fit_ridge(pdf[GAP_COLUMNS].to_numpy(float), pdf["target"].to_numpy(float))
-        return pd.DataFrame({**head, "n": [len(pdf)], "alpha": [alpha], "intercept": [icept], "coefficients": [coef.tolist()]})
-
-    kinds = ", ".join(f"`{c}` {training.schema[c].dataType.simpleString()}" for c in source)
-    return training.groupBy(*source).applyInPandas(run, f"{kinds}, n long, alpha double, intercept double, coefficients array<double>")
+    schema = T.StructType([*(training.schema[c] for c in source), *T._parse_datatype_string("n long, alpha double, intercept double, coefficients array<double>").fields])
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("ts")
+        n = t.num_rows
+        head = t.select(source).slice(0, 1 if n >= LEAST_ROWS else 0)
+        rows = []
+        if n >= LEAST_ROWS:
+            x = np.column_stack([t.column(c).to_numpy() for c in GAP_COLUMNS]).astype(float)
+            coef, icept, alpha = fit_ridge(x, t.column("target").to_numpy().astype(float))
+            rows = [(n, alpha, icept, coef.tolist())]
+        cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float64())))]
+        return pa.Table.from_arrays([*head.columns, *cols], names=schema.names)
+
+    return training.groupBy(*source).applyInArrow(run, schema)
 
 
 def predict(rows: DataFrame, models: DataFrame, source: list[str] = SOURCE) -> DataFrame:

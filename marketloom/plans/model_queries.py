@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketloom.operators import calendar, features, forecast, gap_model, series
 from marketloom.plans.registry import query
 from marketloom.plans.series_queries import BARS, KEY, asof_daily, bars
-from marketloom.session import table
+from marketloom.session import checkpoint_dir, table
 
 SRC = series.SOURCE
 _PATHS = f"""{BARS.replace("open, close, volume FROM", "open, close, volume, CASE WHEN isfinite(next_hour_return) THEN next_hour_return ELSE 0.0 END AS r FROM")},
@@ -96,6 +96,12 @@ def feature_frame(spark, d):
     return features.build(bars(spark, d), asof_daily(spark, d))
 
 
+def settled_features(spark, d):
+    """The feature frame, written once where several branches read it."""
+    checkpoint_dir(spark)
+    return feature_frame(spark, d).checkpoint()
+
+
 @query("mdl01_features")
 def feature_query(spark, d):
     return feature_frame(spark, d)
@@ -117,12 +123,12 @@ def next_bars(spark, d):
 
 @query("flt11_mdl04_gap_models")
 def gap_models(spark, d):
-    return gap_model.fit(gap_model.training_rows(feature_frame(spark, d), table(spark, d, "market_returns")))
+    return gap_model.fit(gap_model.training_rows(settled_features(spark, d), table(spark, d, "market_returns")))
 
 
 def hourly_table(spark, d, context: int = features.CONTEXT, forecaster: forecast.Forecaster = forecast.drift):
     """Next-hour forecast and trailing downside at every bar; the gap model speaks at session closes."""
-    f = feature_frame(spark, d)
+    f = settled_features(spark, d)
     w = series.in_time()
     ret = bars(spark, d).withColumn("_r", series.log_return(F.col("close"), w))
     base = ret.select(*KEY, "open", "close", "volume", series.fall_probability(F.col("_r"), w).alias("fall_probability"), series.fall_quantile(F.col("_r"), w).alias("fall_q10"))
@@ -148,7 +154,7 @@ def hourly(spark, d):
 
 def directions(spark, d, context: int = features.CONTEXT, forecaster: forecast.Forecaster = forecast.drift):
     """The 24-bar outlook of every source from its last bar, with its steps' stamps."""
-    f = feature_frame(spark, d)
+    f = settled_features(spark, d)
     last = f.where("i = n - 1").select(*KEY, F.col("close").alias("origin_price"), "is_session_close", *features.GAP_OWN)
     shape = calendar.session_shape(bars(spark, d))
     future = calendar.next_bars(last.select(*SRC, F.col("ts").alias("origin")).join(shape, SRC), features.HORIZON, [*SRC, "origin"])
