@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.session import checkpoint_dir
+
 # Letters (and Roman numerals) of other scripts by the Latin letter they look like.
 LOOK_ALIKES = {
     "A": "ΑАᎪ", "B": "ΒВᏴ", "C": "СϹᏟⅭ", "D": "ᎠⅮ", "E": "ΕЕᎬ", "F": "Ϝ", "G": "ԌᏀ", "H": "ΗНᎻ", "I": "ΙІӀⅠ",
@@ -112,7 +114,8 @@ def look_alike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     """
     kind = df.schema[key].dataType.simpleString()
     digests = _duck(df.select(key, text), "key AS id, md5(form) AS form, md5(text) AS spelling", f"id {kind}, form string, spelling string", "WHERE trim(form, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(133)) <> ''")
-    return pairs_of(digests, key)
+    checkpoint_dir(df.sparkSession)
+    return pairs_of(digests.checkpoint(), key)  # read by several branches, and costly to make
 
 
 def pairs_of(digests: DataFrame, key: str) -> DataFrame:
