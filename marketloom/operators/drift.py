@@ -56,8 +56,9 @@ def cells(files: DataFrame) -> DataFrame:
     # parsed once: the filter keeps the optimiser from repeating the parser for each use
     parsed = files.select(*FILE, "row_no", "table_name", F.try_parse_json("payload").alias("v")).where(F.col("v").isNotNull())
     records = parsed.where(F.schema_of_variant("v").startswith("OBJECT"))
+    # explode_outer, as explode would have the entries computed once more to filter empty ones
     entries = F.transform_values(F.expr("cast(v AS map<string, variant>)"), lambda _, x: F.struct(_kind(x).alias("kind"), _plain(x).alias("plain")))
-    c = records.select(*FILE, "row_no", "table_name", F.explode(entries).alias("field", "e")).select(*FILE, "row_no", "table_name", "field", "e.kind", "e.plain")
+    c = records.select(*FILE, "row_no", "table_name", F.explode_outer(entries).alias("field", "e")).select(*FILE, "row_no", "table_name", "field", "e.kind", "e.plain").where(F.col("field").isNotNull())
     number = plain_number(F.regexp_replace("plain", r"\s*\([A-Za-z*]+\)$", "")).try_cast("double")
     truth = F.lower("plain")
     c = c.withColumn(
@@ -136,7 +137,7 @@ def renames(c: DataFrame, k: DataFrame) -> DataFrame:
     # the records of the files concerned are read once more, for the fields compared and those that name a row
     sides = other.select("feed_id", F.col("prev_file").alias("file_no"), F.col("field_before").alias("field")).unionByName(other.select(*FILE, F.col("field_after").alias("field"))).distinct()
     named = k.where(F.col("part").isin("symbol", "period")).join(sides.select(*FILE).distinct(), FILE, "left_semi").select(*FILE, "field")
-    wanted = c.where(F.col("canonical").isNotNull()).select(*FILE, "row_no", "field", "canonical").join(sides.unionByName(named).distinct(), [*FILE, "field"], "left_semi").checkpoint()
+    wanted = c.where(F.col("kind").isNotNull()).select(*FILE, "row_no", "field", "canonical").join(sides.unionByName(named).distinct(), [*FILE, "field"], "left_semi").checkpoint()
     keys = _row_keys(wanted, k)
     values = wanted.join(keys, [*FILE, "row_no"]).drop("row_no")
     before = values.select("feed_id", F.col("file_no").alias("prev_file"), F.col("field").alias("field_before"), "key", F.col("canonical").alias("was"))
