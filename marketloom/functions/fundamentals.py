@@ -81,35 +81,50 @@ def norm_label(label: Column) -> Column:
     return F.lower(squeeze(F.replace(label, F.lit("+"), F.lit(""))))
 
 
-def metric_name(label: Column) -> Column:
-    """The metric column of a label: its alias, else snake case, else ``metric``; null stays null."""
-    key = norm_label(label)
+def metric_of(key: Column) -> Column:
+    """The metric column of a normalised label."""
     alias = F.create_map(*(F.lit(x) for x in chain(*METRIC_ALIASES.items())))
     snake = F.regexp_replace(F.regexp_replace(key, "[^a-z0-9]+", "_"), "^_+|_+$", "")
     return F.when(key.isNull(), None).otherwise(F.coalesce(F.try_element_at(alias, key), F.when(snake == "", "metric").otherwise(snake)))
 
 
-def period_name(text: Column) -> Column:
-    """``Mon YYYY`` or ``TTM`` out of the ways a period is written; null for anything else."""
-    t = F.upper(squeeze(text))
-    named = "^(" + "|".join(f"{f[:3].upper()}(?:{f[3:].upper()})?" for f in _FULL).replace("SEP(?:TEMBER)?", "SEP(?:T|TEMBER)?") + r")[ \-]?'?([0-9]{4}|[0-9]{2})$"
-    year = F.regexp_extract(t, named, 2)
+def metric_name(label: Column) -> Column:
+    """The metric column of a label: its alias, else snake case, else ``metric``; null stays null."""
+    return metric_of(norm_label(label))
+
+
+_MONTH = "|".join(f"{f[:3].upper()}(?:{f[3:].upper()})?" for f in _FULL).replace("SEP(?:TEMBER)?", "SEP(?:T|TEMBER)?")
+_NAMED = rf"^({_MONTH})[ \-]?'?([0-9]{{4}}|[0-9]{{2}})$"
+_NUMBERED = r"^[0-9]{4}[-/]?(0[1-9]|1[0-2])$"
+
+
+def period_of(t: Column) -> Column:
+    """period_name of a text in upper case without extra blanks."""
     month = F.initcap(F.lower(F.substring(t, 1, 3)))
-    number = F.regexp_extract(t, r"^[0-9]{4}[-/]?(0[1-9]|1[0-2])$", 1)
-    by_number = F.try_element_at(F.array(*(F.lit(m) for m in MONTHS)), number.try_cast("int"))
+    century = F.when(F.substring(t, -4, 4).rlike("^[0-9]{4}$"), F.substring(t, -4, 4)).otherwise(F.concat(F.lit("20"), F.substring(t, -2, 2)))
+    number = F.substring(t, -2, 2).try_cast("int")
+    by_number = F.try_element_at(F.array(*(F.lit(m) for m in MONTHS)), number)
     return (
         F.when(t == "TTM", F.lit("TTM"))
-        .when(t.rlike(named), F.concat(month, F.lit(" "), F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year)))
-        .when(number != "", F.concat(by_number, F.lit(" "), F.substring(t, 1, 4)))
+        .when(t.rlike(_NAMED), F.concat(month, F.lit(" "), century))
+        .when(t.rlike(_NUMBERED), F.concat(by_number, F.lit(" "), F.substring(t, 1, 4)))
     )
 
 
+def period_name(text: Column) -> Column:
+    """``Mon YYYY`` or ``TTM`` out of the ways a period is written; null for anything else."""
+    return period_of(F.upper(squeeze(text)))
+
+
+_DIGITS = r"(?:[0-9][0-9,]*\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]{1,2})?"
+_NUMBER = rf"^{SPACE}*(?:\({SPACE}*{_DIGITS}{SPACE}*%?{SPACE}*\)|[-+−–—]?{SPACE}*{_DIGITS}){SPACE}*%?{SPACE}*$"
+#: Characters that a number's text loses; the minus signs and the opening bracket become a minus.
+_MINUSES, _DROPPED = "−–—(", ")+,% \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def plain_number(text: Column) -> Column:
     """A number's text without grouping, percent sign, plus or bracketed minus; null where it is none."""
-    t = F.regexp_replace(F.translate(text, "−–—,", "---"), f"{SPACE}+|%", "")
-    bracketed = F.regexp_extract(t, r"^\((.+)\)$", 1)
-    t = F.when(bracketed != "", F.concat(F.lit("-"), bracketed)).otherwise(F.regexp_replace(t, r"^\+", ""))
-    return F.when(t.rlike(r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,2})?$"), t)
+    return F.when(text.rlike(_NUMBER), F.translate(text, _MINUSES + _DROPPED, "-" * len(_MINUSES)))
 
 
 def hundredths(text: Column) -> Column:
