@@ -12,15 +12,14 @@ a cell resolve to the greater number; an empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketloom.functions.fundamentals import hundredths, metric_name, period_name
+from marketloom.functions.fundamentals import hundredths, metric_name, metric_of, norm_label, period_of, squeeze
 
-Register = dict[str, tuple]
+#: Slots of an entity that hold something: {slot number: (version..., value)}.
+Register = dict[int, tuple]
 
 
 def _open(cell: tuple) -> Register:
@@ -43,28 +42,45 @@ def _merge(a: Register, b: Register) -> Register:
     return a
 
 
-def registers(df: DataFrame, entity: list[str], slot: str, order: list[str], value: str):
-    """RDD of (entity values, {slot: (order..., value)}); order columns must not be null."""
+def registers(df: DataFrame, entity: list[str], slot: str, order: list[str], value: str, slots: list[str]):
+    """RDD of (entity values, register); slots are numbered by their place in ``slots``.
+
+    Rows whose entity, slot or value is null hold no cell. A cell outside ``slots`` fails rather
+    than being dropped silently. The order columns must not be null.
+    """
     k, m = len(entity), len(order)
+    number = {s: i for i, s in enumerate(slots)}
+    required = [i for i, c in enumerate(entity) if c != "table_name"]
+
+    def cells(rows):
+        for r in rows:
+            if r[k] is not None and r[-1] is not None and all(r[i] is not None for i in required):
+                yield tuple(r[:k]), (number[r[k]], tuple(r[k + 1 : k + 2 + m]))
+
     rows = df.select(*entity, slot, *order, value).rdd
-    cells = rows.map(lambda r: (tuple(r[:k]), (r[k], tuple(r[k + 1 : k + 2 + m]))))
-    return cells.combineByKey(_open, _put, _merge, df.sparkSession.sparkContext.defaultParallelism * 2)
+    return rows.mapPartitions(cells).combineByKey(_open, _put, _merge, df.sparkSession.sparkContext.defaultParallelism * 2)
 
 
 def fundamentals_cells(facts: DataFrame) -> DataFrame:
-    """Typed cells of screener facts: table_name, symbol, financial_period, metric, hundredths and their version."""
-    return (
-        facts.select(
-            "table_name",
-            F.upper(F.trim("symbol")).alias("symbol"),
-            period_name(F.col("financial_period")).alias("financial_period"),
-            metric_name(F.col("metric_label")).alias("metric"),
-            F.coalesce(F.unix_micros("ingested_at"), F.lit(-(2**62))).alias("_at"),
-            F.coalesce(F.col("load_seq"), F.lit(-(2**62))).alias("_seq"),
-            hundredths(F.col("metric_text")).alias("hundredths"),
-        )
-        .where(F.col("hundredths").isNotNull() & F.col("financial_period").isNotNull() & (F.col("symbol") != "") & F.col("metric").isNotNull())
+    """Typed cells of screener facts: table_name, symbol, financial_period, metric, hundredths and their version; null where there is none."""
+    staged = facts.select(
+        "table_name",
+        F.nullif(F.upper(F.trim("symbol")), F.lit("")).alias("symbol"),
+        F.upper(squeeze(F.col("financial_period"))).alias("_period"),
+        norm_label(F.col("metric_label")).alias("_label"),
+        F.coalesce(F.unix_micros("ingested_at"), F.lit(-(2**62))).alias("_at"),
+        F.coalesce(F.col("load_seq"), F.lit(-(2**62))).alias("_seq"),
+        "metric_text",
     )
+    return staged.select("table_name", "symbol", period_of(F.col("_period")).alias("financial_period"), metric_of(F.col("_label")).alias("metric"), "_at", "_seq", hundredths(F.col("metric_text")).alias("hundredths"))
+
+
+def slot_names(facts: DataFrame, most: int = 2000) -> list[str]:
+    """The metrics that the labels of the facts name, sorted: the slots of a register. More than ``most`` raises."""
+    found = [r[0] for r in facts.select("metric_label").distinct().select(metric_name(F.col("metric_label")).alias("m")).where(F.col("m").isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} metrics: not attributes of one wide table")
+    return sorted(found)
 
 
 ENTITY = ["table_name", "symbol", "financial_period"]
@@ -72,35 +88,22 @@ ENTITY = ["table_name", "symbol", "financial_period"]
 
 def filled_cells(facts: DataFrame) -> DataFrame:
     """One row per filled cell of the wide table, out of the slot registers."""
+    slots = slot_names(facts)
     schema = T.StructType([*(T.StructField(c, T.StringType()) for c in (*ENTITY, "metric")), T.StructField("hundredths", T.LongType())])
-    rdd = registers(fundamentals_cells(facts), ENTITY, "metric", ["_at", "_seq"], "hundredths")
-    return facts.sparkSession.createDataFrame(rdd.flatMap(lambda kv: [(*kv[0], s, v[-1]) for s, v in kv[1].items()]), schema, verifySchema=False)
-
+    rdd = registers(fundamentals_cells(facts), ENTITY, "metric", ["_at", "_seq"], "hundredths", slots)
+    return facts.sparkSession.createDataFrame(rdd.flatMap(lambda kv: [(*kv[0], slots[s], v[-1]) for s, v in kv[1].items()]), schema, verifySchema=False)
 
-def wide(facts: DataFrame, metrics: Iterable[str]) -> DataFrame:
-    """One row per table_name, symbol and financial_period, a double column for each of ``metrics``.
 
-    A metric outside ``metrics`` raises rather than being dropped silently.
-    """
-    names = list(metrics)
-    at = {m: i for i, m in enumerate(names)}
+def wide(facts: DataFrame) -> DataFrame:
+    """One row per table_name, symbol and financial_period, a double column for each metric that is labelled."""
+    slots = slot_names(facts)
 
     def encode(kv):
-        row = [None] * len(names)
-        for slot, v in kv[1].items():
-            if slot not in at:
-                raise ValueError(f"metric {slot!r} has no column")
-            row[at[slot]] = v[-1] / 100.0
+        row = [None] * len(slots)
+        for s, v in kv[1].items():
+            row[s] = v[-1] / 100.0
         return (*kv[0], *row)
 
-    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in ENTITY), *(T.StructField(m, T.DoubleType()) for m in names)])
-    rdd = registers(fundamentals_cells(facts), ENTITY, "metric", ["_at", "_seq"], "hundredths")
+    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in ENTITY), *(T.StructField(m, T.DoubleType()) for m in slots)])
+    rdd = registers(fundamentals_cells(facts), ENTITY, "metric", ["_at", "_seq"], "hundredths", slots)
     return facts.sparkSession.createDataFrame(rdd.map(encode), schema, verifySchema=False)
-
-
-def metric_columns(facts: DataFrame, most: int = 2000) -> list[str]:
-    """The distinct metrics that hold a readable number, sorted; more than ``most`` raises."""
-    found = [r[0] for r in fundamentals_cells(facts).select("metric").distinct().limit(most + 1).collect()]
-    if len(found) > most:
-        raise ValueError(f"more than {most} metrics: not attributes of one wide table")
-    return sorted(found)

@@ -91,5 +91,4 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = table(spark, sf_dir, "screener_facts")
-    return eav.wide(facts, eav.metric_columns(facts))
+    return eav.wide(table(spark, sf_dir, "screener_facts"))

@@ -116,7 +116,7 @@ def test_cells_and_wide_rows(spark):
     got = {tuple(r) for r in eav.filled_cells(facts(spark, rows)).collect()}
     assert got == {("ratios", "AB", "Mar 2022", "roe", -123450), ("ratios", "AB", "Mar 2022", "debtor_days", -700), ("ratios", "AB", "TTM", "net_npa", 101), (None, "AB", "TTM", "sales", 500)}
     f = facts(spark, rows)
-    w = {(r["table_name"], r["financial_period"]): r.asDict() for r in eav.wide(f, eav.metric_columns(f)).collect()}
+    w = {(r["table_name"], r["financial_period"]): r.asDict() for r in eav.wide(f).collect()}
     assert w["ratios", "Mar 2022"]["roe"] == -1234.5 and w["ratios", "Mar 2022"]["net_npa"] is None
     assert eav.filled_cells(f.limit(0)).collect() == []
 
