@@ -70,25 +70,32 @@ def dyadic_nodes(intervals: DataFrame) -> DataFrame:
     )
 
 
-def as_known(events: DataFrame, event_id: str, event_time: str, intervals: DataFrame, entity: list[str], salts: int = 8) -> DataFrame:
+def as_known(events: DataFrame, event_id: str, event_time: str, intervals: DataFrame, entity: list[str], salts: int = 8, broadcast_intervals: int = 20_000) -> DataFrame:
     """(event_id, entity..., version): for each event and entity the version valid at the event's time.
 
     The entity columns come from the intervals; an event sees every entity unless it carries
-    columns of the same names, which then join too. Events at one hot instant are spread over
-    ``salts`` copies of the (much smaller) node table.
+    columns of the same names, which then join too. Up to ``broadcast_intervals`` intervals
+    (counted first; at most some 30 nodes each) go to every executor, so events aren't shuffled.
+    Beyond that both sides are shuffled, and events at one hot instant are spread over ``salts``
+    copies of the nodes.
     """
     shared = [c for c in entity if c in events.columns]
+    few = intervals.limit(broadcast_intervals + 1).count() <= broadcast_intervals
     ev = (
         events.where(F.col(event_time).isNotNull())
         .select(event_id, *shared, F.unix_micros(event_time).alias("_t"))
-        .withColumn("_salt", F.pmod(F.xxhash64(event_id), F.lit(salts)).cast("int"))
         .withColumn("_leaf", _leaf(F.col("_t")))
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(TOP_LEVEL))).alias("level"))
         .withColumn("node", F.expr("shiftright(_leaf, level)"))
         .drop("_leaf")
     )
-    nodes = dyadic_nodes(intervals).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    pairs = ev.join(nodes, ["level", "node", "_salt", *shared]).where(
-        (F.col("_t") >= F.col("from_us")) & (F.col("to_us").isNull() | (F.col("_t") < F.col("to_us")))
-    )
+    nodes = dyadic_nodes(intervals)
+    keys = ["level", "node", *shared]
+    if few:
+        nodes = F.broadcast(nodes)
+    else:
+        keys.append("_salt")
+        ev = ev.withColumn("_salt", F.pmod(F.xxhash64(event_id), F.lit(salts)).cast("int"))
+        nodes = nodes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
+    pairs = ev.join(nodes, keys).where((F.col("_t") >= F.col("from_us")) & (F.col("to_us").isNull() | (F.col("_t") < F.col("to_us"))))
     return pairs.groupBy(event_id, *entity).agg(F.max("version").alias("version"))

@@ -15,7 +15,9 @@ def test_as_known_equals_brute_force_and_never_looks_ahead(spark):
     o = spark.createDataFrame(obs, "series string, day date, v double, known_at timestamp, obs_id long")
     e = spark.createDataFrame([(*x, "clash") for x in events], "event_id long, at timestamp, node string")
     iv = known_at.validity_intervals(o, ["series"], "known_at", ["day", "known_at", "obs_id"], "v")
-    got = {(x["event_id"], x["series"]): x["version"]["obs_id"] for x in known_at.as_known(e, "event_id", "at", iv, ["series"]).collect()}
+    answer = lambda n: {(x["event_id"], x["series"]): x["version"]["obs_id"] for x in known_at.as_known(e, "event_id", "at", iv, ["series"], broadcast_intervals=n).collect()}
+    got = answer(20_000)
+    assert answer(0) == got
     want = {}
     for i, at in events:
         for s in "ab":
