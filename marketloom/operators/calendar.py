@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.functions.market import INDIA
 from marketloom.operators.series import SOURCE, in_time
@@ -28,6 +31,29 @@ def session_shape(bars: DataFrame, source: list[str] = SOURCE, zone: str = INDIA
     )
 
 
+def session_shape_at(bars: DataFrame, origins: DataFrame, source: list[str] = SOURCE, zone: str = INDIA) -> DataFrame:
+    """(source..., ts, step_us, start_minute, end_minute): session_shape of the bars up to each origin (source..., ts)."""
+    local = F.from_utc_timestamp("ts", zone)
+    m = bars.select(*source, F.unix_micros("ts").alias("us"), (F.hour(local) * 60 + F.minute(local)).alias("minute"))
+    o = origins.select(*(F.col(c).alias(f"_{c}") for c in (*source, "ts")), F.unix_micros("ts").alias("_us"))
+    schema = T.StructType([*(origins.schema[c] for c in (*source, "ts")), *T._parse_datatype_string("step_us long, start_minute int, end_minute int").fields])
+
+    def run(t: pa.Table, at: pa.Table) -> pa.Table:
+        t = t.sort_by("us")
+        us, minute = t.column("us").to_numpy(), t.column("minute").to_numpy()
+        step = np.diff(us)
+        rows = []
+        for n in np.searchsorted(us, at.column("_us").to_numpy(), side="right"):
+            inner = step[: max(n - 1, 0)]
+            inner = inner[inner <= 4 * HOUR_US]
+            a, b = (int(np.percentile(minute[:n], p)) for p in (5, 95)) if n else (0, 0)
+            rows.append((int(np.median(inner)) if len(inner) else HOUR_US, *((a, b) if b > a else (555, 915))))
+        cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+        return pa.Table.from_arrays([*at.drop_columns(["_us"]).columns, *cols], names=schema.names)
+
+    return m.groupBy(*source).cogroup(o.groupBy(*(f"_{c}" for c in source))).applyInArrow(run, schema)
+
+
 def next_bars(origins: DataFrame, n: int, keys: list[str], zone: str = INDIA) -> DataFrame:
     """(keys..., horizon 1..n, ts): bars expected after ``origin`` for rows with origin, step_us, start_minute, end_minute.
 

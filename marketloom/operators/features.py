@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketloom.functions.market import finite
 from marketloom.operators import series
 
-CONTEXT, HORIZON = 512, 24
+CONTEXT, HORIZON, ORIGINS = 512, 24, 30
 #: Columns whose missing values are 0; the others stay null.
 MODEL_COLUMNS = ["log_return", "log_volume_norm", "rsi_14d", "macd_hist", "ret_5d", "vol_5d", "hours_since_prev", "nifty_log_return"]
 GAP_OWN = ["prev_day_return", "ret_5d", "ret_20d", "vol_5d", "vol_20d", "volume_change", "last_gap", "is_weekend_gap"]

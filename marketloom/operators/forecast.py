@@ -30,7 +30,11 @@ def drift(windows: np.ndarray, horizon: int = HORIZON, reach: int = 120) -> np.n
 
 
 def sliding(features: DataFrame, forecaster: Forecaster = drift, context: int = CONTEXT, origins: str = "all", source: list[str] = SOURCE, batch: int = 256) -> DataFrame:
-    """(source..., ts, returns): the forecast at every bar with a full context (``origins='last'``: the latest only)."""
+    """(source..., ts, returns): the forecast at every bar with a full context.
+
+    ``origins='last'`` takes the latest only; another name is that of a boolean column of the bars to forecast at.
+    """
+    marked = [] if origins in ("all", "last") else [origins]
 
     schema = T.StructType([*(features.schema[c] for c in (*source, "ts")), T.StructField("returns", T.ArrayType(T.DoubleType()))])
 
@@ -42,12 +46,16 @@ def sliding(features: DataFrame, forecaster: Forecaster = drift, context: int =
         if t.num_rows >= context:
             x = np.column_stack([t.column(c).to_numpy() for c in MODEL_COLUMNS]).astype(float)
             windows = np.lib.stride_tricks.sliding_window_view(x, context, axis=0).transpose(0, 2, 1)
-            out = np.concatenate([forecaster(windows[i : i + batch]) for i in range(0, len(windows), batch)])
-            kept = t.slice(context - 1)
+            at = np.arange(len(windows))
+            if marked:
+                at = np.flatnonzero(t.column(origins).to_numpy().astype(bool)[context - 1 :])
+            if len(at):
+                out = np.concatenate([forecaster(windows[at[i : i + batch]]) for i in range(0, len(at), batch)])
+                kept = t.take(pa.array(at + context - 1))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.ravel()))
         return pa.Table.from_arrays([*kept.select([*source, "ts"]).columns, lists], names=schema.names)
 
-    return features.select(*source, "ts", *MODEL_COLUMNS).groupBy(*source).applyInArrow(run, schema)
+    return features.select(*source, "ts", *MODEL_COLUMNS, *marked).groupBy(*source).applyInArrow(run, schema)
 
 
 def steps(forecasts: DataFrame, keys: list[str]) -> DataFrame:
@@ -87,6 +95,13 @@ def calibrate(resid: DataFrame, keys: list[str]) -> DataFrame:
     return g.select(*keys, "horizon", "bias", (F.col("bias") - F.col("_hi")).alias("q10"), (F.col("bias") - F.col("_lo")).alias("q90"))
 
 
+def rolling_bands(paths: DataFrame, source: list[str] = SOURCE) -> DataFrame:
+    """The bands of each source from its own earlier paths; where a source has residuals, a horizon without any has zeros."""
+    bands = calibrate(residuals(paths), source)
+    every = bands.select(*source).distinct().withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(HORIZON))))
+    return every.join(bands, [*source, "horizon"], "left").fillna(0.0, subset=["bias", "q10", "q90"])
+
+
 def apply_calibration(paths: DataFrame, bands: DataFrame, keys: list[str]) -> DataFrame:
     """Shifts running returns and prices by the bias and adds the price band; the steps themselves stay."""
     j = paths.join(bands, [*keys, "horizon"], "left")

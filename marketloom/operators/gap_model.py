@@ -88,6 +88,31 @@ def fit(training: DataFrame, source: list[str] = SOURCE) -> DataFrame:
     return training.groupBy(*source).applyInArrow(run, schema)
 
 
+def fit_at(training: DataFrame, origins: DataFrame, source: list[str] = SOURCE) -> DataFrame:
+    """(source..., ts, n, alpha, intercept, coefficients): the model of each origin (source..., ts) from the rows before it.
+
+    Origins with fewer than 40 rows before them have no model.
+    """
+
+    schema = T.StructType([*(origins.schema[c] for c in (*source, "ts")), *T._parse_datatype_string("n long, alpha double, intercept double, coefficients array<double>").fields])
+
+    def run(t: pa.Table, o: pa.Table) -> pa.Table:
+        t = t.sort_by("ts")
+        x = np.column_stack([t.column(c).to_numpy() for c in GAP_COLUMNS]).astype(float)
+        y = t.column("target").to_numpy().astype(float)
+        before = np.searchsorted(t.column("ts").to_numpy(), o.column("_ts").to_numpy())
+        at = np.flatnonzero(before >= LEAST_ROWS)
+        rows = []
+        for n in before[at]:
+            coef, icept, alpha = fit_ridge(x[:n], y[:n])
+            rows.append((int(n), alpha, icept, coef.tolist()))
+        cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.float64())))]
+        return pa.Table.from_arrays([*o.take(pa.array(at, pa.int64())).columns, *cols], names=schema.names)
+
+    o = origins.select(*(F.col(c).alias(f"_{c}") for c in (*source, "ts")))
+    return training.groupBy(*source).cogroup(o.groupBy(*(f"_{c}" for c in source))).applyInArrow(run, schema)
+
+
 def predict(rows: DataFrame, models: DataFrame, source: list[str] = SOURCE) -> DataFrame:
     """rows with gap_hat; 0 without a model."""
     x = F.array(*(finite_or_zero(F.col(c)) for c in GAP_COLUMNS))

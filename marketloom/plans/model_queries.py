@@ -152,20 +152,50 @@ def hourly(spark, d):
     return hourly_table(spark, d)
 
 
-def directions(spark, d, context: int = features.CONTEXT, forecaster: forecast.Forecaster = forecast.drift):
-    """The 24-bar outlook of every source from its last bar, with its steps' stamps."""
+def outlooks(f, b, returns, last: int = features.ORIGINS, context: int = features.CONTEXT, forecaster: forecast.Forecaster = forecast.drift):
+    """Paths (source..., ts, i, n, horizon, ...) with actual prices from each source's last bar (i = n - 1) and from up to ``last`` session closes before it.
+
+    Every origin has the gap model and the session of what came before it only.
+    """
+    full = f.where(f"i = n - 1 AND n >= {int(context)}")
+    o = full.unionByName(features.close_origins(f, last, context)) if last else full
+    o = o.select(*KEY, "i", "n", F.col("close").alias("origin_price"), "is_session_close", *features.GAP_OWN).checkpoint()
+    marked = f.join(o.select(*KEY, F.lit(True).alias("_at")), KEY, "left").fillna(False, subset=["_at"])
+    p = forecast.steps(forecast.sliding(marked, forecaster, context, origins="_at"), KEY)
+    ahead = calendar.next_bars(o.select(*KEY, F.col("ts").alias("origin")).join(calendar.session_shape_at(b, o), KEY).drop("ts"), 1, [*SRC, "origin"])
+    cut = ahead.select(*SRC, F.col("origin").alias("_o"), calendar.information_cutoff(F.col("ts"), F.col("origin")).alias("_cut")).withColumnRenamed("_o", "ts")
+    models = gap_model.fit_at(gap_model.training_rows(f, returns), o)
+    gaps = gap_model.predict(gap_model.with_market(o.join(cut, KEY), KEY, "_cut", returns), models, KEY)
+    gaps = gaps.select(*KEY, "i", "n", "origin_price", F.when(F.col("is_session_close") > 0.5, F.col("gap_hat")).alias("gap"))
+    p = forecast.reconstruct(forecast.with_gap(p.join(gaps, KEY), "gap"), KEY)
+    came = f.select(*SRC, F.col("i").alias("_i"), F.col("close").alias("actual_price"))
+    return p.withColumn("_i", F.col("i") + F.col("horizon")).join(came, [*SRC, "_i"], "left").drop("_i")
+
+
+def rolling(spark, d, context: int = features.CONTEXT, forecaster: forecast.Forecaster = forecast.drift):
+    """(the paths from each source's last bar, the bands of its own earlier session closes)."""
     f = settled_features(spark, d)
-    last = f.where("i = n - 1").select(*KEY, F.col("close").alias("origin_price"), "is_session_close", *features.GAP_OWN)
-    shape = calendar.session_shape(bars(spark, d))
-    future = calendar.next_bars(last.select(*SRC, F.col("ts").alias("origin")).join(shape, SRC), features.HORIZON, [*SRC, "origin"])
-    cut = future.where("horizon = 1").select(*SRC, calendar.information_cutoff(F.col("ts"), F.col("origin")).alias("_cut"))
-    returns = table(spark, d, "market_returns")
-    models = gap_model.fit(gap_model.training_rows(f, returns))
-    gaps = gap_model.predict(gap_model.with_market(last.join(cut, SRC), KEY, "_cut", returns), models).select(*SRC, "gap_hat", "origin_price", "is_session_close")
-    p = forecast.steps(forecast.sliding(f, forecaster, context, origins="last").drop("ts"), SRC).join(gaps, SRC)
-    p = forecast.with_gap(p.withColumn("gap", F.when(F.col("is_session_close") > 0.5, F.col("gap_hat"))), "gap")
-    p = forecast.reconstruct(p, SRC)
-    return p.join(future.select(*SRC, "horizon", "origin", "ts"), [*SRC, "horizon"])
+    p = outlooks(f, bars(spark, d), table(spark, d, "market_returns"), context=context, forecaster=forecaster).checkpoint()
+    return p.where("i = n - 1").drop("actual_price"), forecast.rolling_bands(p.where("i < n - 1"))
+
+
+def directions(spark, d, context: int = features.CONTEXT, forecaster: forecast.Forecaster = forecast.drift):
+    """The calibrated 24-bar outlook of every source from its last bar, with its steps' stamps."""
+    p, known = rolling(spark, d, context, forecaster)
+    p = forecast.apply_calibration(p.withColumnRenamed("ts", "origin"), known, SRC)
+    b = bars(spark, d)
+    future = calendar.next_bars(p.where("horizon = 1").select(*SRC, "origin").join(calendar.session_shape(b), SRC), features.HORIZON, [*SRC, "origin"])
+    return p.join(future.select(*SRC, "horizon", "ts"), [*SRC, "horizon"])
+
+
+@query("mdl13_rolling_bands")
+def rolling_bands(spark, d):
+    return rolling(spark, d)[1]
+
+
+@query("mdl10_13_rolling_path")
+def rolling_path(spark, d):
+    return directions(spark, d).select(*SRC, "origin", "horizon", "ts", "predicted_log_return", "origin_log_return", "predicted_price", "price_q10", "price_q90")
 
 
 @query("mdl11_20_21_predictions")
