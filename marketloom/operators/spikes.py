@@ -209,20 +209,23 @@ def flag(long: DataFrame, rules: dict[tuple[str, str], Rule], chunk: int = CHUNK
         .withColumn("before_u", F.last("last_u", ignorenulls=True).over(by_source.rowsBetween(Window.unboundedPreceding, -1)))
     )
     move = F.when(is_level, F.abs(F.try_divide("u", "pu") - 1)).otherwise(F.col("u"))
-    inner = ranked.where("judged").groupBy(*src).agg(
-        F.percentile_approx(F.when(move > 0, move), 0.5, accuracy).alias("scale"),
+    inner = ranked.where("judged").select(*src, "u", "pu", move.alias("move"), F.lit(1).alias("one"))
+    # the step from one period to the next; an amount is itself its move and counted already
+    edges = periods.where("first_u IS NOT NULL AND before_u IS NOT NULL").select(*src, F.col("first_u").alias("u"), F.col("before_u").alias("pu"))
+    edges = edges.select(*src, "u", "pu", F.when(is_level, move).alias("move"), F.lit(0).alias("one"))
+    figures = inner.unionByName(edges).groupBy(*src).agg(
+        F.percentile_approx(F.when(F.col("move") > 0, F.col("move")), 0.5, accuracy).alias("scale"),
         F.count_if(F.col("u") == F.col("pu")).alias("reps"),
-        F.count(F.lit(1)).alias("n"),
+        F.sum("one").alias("n"),
     )
-    edges = periods.groupBy(*src).agg(F.count_if(F.col("first_u") == F.col("before_u")).alias("edge_reps"), F.floor((F.sum("n") - 1) / chunk).cast("int").alias("last_chunk"))
     same = lambda a, b, keys: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in keys]
-    stats = inner.alias("i").join(edges.alias("e"), same("i", "e", src)).select(
-        *(f"i.{c}" for c in src),
-        F.explode(F.sequence(F.lit(0), F.col("last_chunk"))).alias("chunk"),
+    stats = figures.select(
+        *src,
+        F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / chunk).cast("int"))).alias("chunk"),
         F.lit(-1).cast("long").alias("rank"),
         F.lit(None).cast("long").alias("load_seq"),
         F.coalesce(F.col("scale"), F.lit(float("inf"))).alias("x"),
-        ((F.col("reps") + F.col("edge_reps")) / F.col("n")).alias("rate"),
+        (F.col("reps") / F.col("n")).alias("rate"),
     )
     offsets = periods.select(*src, "period", "base")
     placed = ranked.select(*src, "period", "pos", "load_seq", "x").alias("r").join(offsets.alias("o"), same("r", "o", [*src, "period"])).select(*(f"r.{c}" for c in src), (F.col("base") + F.col("pos") - 1).alias("rank"), "load_seq", "x")

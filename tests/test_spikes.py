@@ -92,6 +92,16 @@ def test_flags_equal_brute_force_for_whole_and_cut_sources(spark):
     assert run(spark, rows, 150) == want
 
 
+def test_steps_between_periods_count(spark):
+    rows = []
+    for src, apart in (("quarterly", 90), ("mixed", 40)):  # hours; the periods here are of 72
+        for k, (_, _, c, v) in enumerate(series(60, 7, src)):
+            rows.append([src, k * apart, len(rows) + 1, c, v])
+    want = brute(rows)
+    assert {"quarterly", "mixed"} == {rows[s - 1][0] for _, f, s in want if f == "close" and rows[s - 1][3] > 1000}
+    assert run(spark, rows, 4096) == want
+
+
 def test_empty_and_motionless(spark):
     assert run(spark, [["a", None, 1, None, None]], 4096) == set()
     still = [["a", t, t, 5.0, 0.0] for t in range(50)]
