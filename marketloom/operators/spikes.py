@@ -206,6 +206,7 @@ def flag(long: DataFrame, rules: dict[tuple[str, str], Rule], chunk: int = CHUNK
         ranked.groupBy(*src, "period")
         .agg(F.max("pos").alias("n"), F.min_by("u", F.when(F.col("u").isNotNull(), F.col("at_us"))).alias("first_u"), F.max_by("u", F.when(F.col("u").isNotNull(), F.col("at_us"))).alias("last_u"))
         .withColumn("base", F.coalesce(F.sum("n").over(by_source.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("last_chunk", F.floor((F.sum("n").over(Window.partitionBy(*src)) - 1) / chunk).cast("int"))
         .withColumn("before_u", F.last("last_u", ignorenulls=True).over(by_source.rowsBetween(Window.unboundedPreceding, -1)))
     )
     move = F.when(is_level, F.abs(F.try_divide("u", "pu") - 1)).otherwise(F.col("u"))
@@ -227,11 +228,11 @@ def flag(long: DataFrame, rules: dict[tuple[str, str], Rule], chunk: int = CHUNK
         F.coalesce(F.col("scale"), F.lit(float("inf"))).alias("x"),
         (F.col("reps") / F.col("n")).alias("rate"),
     )
-    offsets = periods.select(*src, "period", "base")
-    placed = ranked.select(*src, "period", "pos", "load_seq", "x").alias("r").join(offsets.alias("o"), same("r", "o", [*src, "period"])).select(*(f"r.{c}" for c in src), (F.col("base") + F.col("pos") - 1).alias("rank"), "load_seq", "x")
+    offsets = periods.select(*src, "period", "base", "last_chunk")
+    placed = ranked.select(*src, "period", "pos", "load_seq", "x").alias("r").join(offsets.alias("o"), same("r", "o", [*src, "period"])).select(*(f"r.{c}" for c in src), (F.col("base") + F.col("pos") - 1).alias("rank"), "last_chunk", "load_seq", "x")
     home = F.floor(F.col("rank") / chunk).cast("int")
     inside = F.col("rank") % chunk
-    homes = F.array_compact(F.array(home, F.when((inside < HALO) & (home > 0), home - 1), F.when(inside >= chunk - HALO, home + 1)))
+    homes = F.array_compact(F.array(home, F.when((inside < HALO) & (home > 0), home - 1), F.when((inside >= chunk - HALO) & (home < F.col("last_chunk")), home + 1)))
     chunks = placed.select(*src, F.explode(homes).alias("chunk"), "rank", "load_seq", "x", F.lit(None).cast("double").alias("rate"))
     parts = chunks.unionByName(stats).repartition(*[F.col(c) for c in (*src, "chunk")]).sortWithinPartitions(*src, "chunk", "rank", "load_seq")
     limits = [rules[k] for k in kinds]

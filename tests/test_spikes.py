@@ -102,6 +102,17 @@ def test_steps_between_periods_count(spark):
     assert run(spark, rows, 4096) == want
 
 
+def test_last_chunk_sends_nothing_beyond_itself(spark):
+    rows = []
+    for k in range(8):
+        one = [r for r in series(200, k, f"s{k}")[: 150 if k % 2 else 100]]
+        one[-1][2] = 5_000.0  # no spike, as nothing comes after it
+        rows += [[s, t, len(rows) + i + 1, c, v] for i, (s, t, c, v) in enumerate(one)]
+    want = brute(rows)
+    assert not {s for _, f, s in want if f == "close" and rows[s - 1][3] == 5_000.0}
+    assert run(spark, rows, 150) == want
+
+
 def test_empty_and_motionless(spark):
     assert run(spark, [["a", None, 1, None, None]], 4096) == set()
     still = [["a", t, t, 5.0, 0.0] for t in range(50)]
