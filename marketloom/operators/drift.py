@@ -2,7 +2,7 @@
 
 The schemas of a feed's files are fused path by path. A path keeps every kind it was seen with
 (a tagged union) rather than being widened; values of one path come out in typed branches
-(``figures``, ``texts``) besides a canonical conversion, and every appearing or vanishing
+(``figures``, ``texts``, ``truths``, ``nested``) besides a canonical conversion, and every appearing or vanishing
 path, rename and change of kind is reported against the file before it.
 
 A rename is one path going and another coming in the same file with the same content: equal
@@ -31,6 +31,8 @@ FILE = ["feed_id", "file_no"]
 KINDS = ("number", "text", "boolean", "object", "list")
 #: Share of the compared rows on which two paths must agree, and of values that show a part's shape.
 AGREE, SHAPE = 0.5, 0.8
+#: The unit of amounts that plain figures have too.
+UNIT = "cr"
 
 
 def _kind(v: Column) -> Column:
@@ -51,14 +53,26 @@ def _plain(v: Column) -> Column:
     return F.trim(F.coalesce(part, F.to_json(v)))
 
 
+def _one_value(v: Column) -> Column:
+    """Whether a list or object stands for one plain value: a list of one item, an amount in the unit of plain figures."""
+    listed = F.try_variant_get(v, "$[0]", "string").isNotNull() & F.try_variant_get(v, "$[1]", "variant").isNull()
+    unit = F.coalesce(F.lower(F.trim(F.try_variant_get(v, "$.unit", "string"))), F.lit(UNIT))
+    return listed | (F.try_variant_get(v, "$.amount", "string").isNotNull() & (unit == UNIT))
+
+
+def _nested(v: Column, x: Column) -> Column:
+    t = F.schema_of_variant(v)
+    return F.when(t.startswith("OBJECT") | t.startswith("ARRAY"), x)
+
+
 def cells(files: DataFrame) -> DataFrame:
     """One row per path of each valid record: its kind, canonical value, figure, and the parts it could be."""
     # parsed once: the filter keeps the optimiser from repeating the parser for each use
     parsed = files.select(*FILE, "row_no", "table_name", F.try_parse_json("payload").alias("v")).where(F.col("v").isNotNull())
     records = parsed.where(F.schema_of_variant("v").startswith("OBJECT"))
     # explode_outer, as explode would have the entries computed once more to filter empty ones
-    entries = F.transform_values(F.expr("cast(v AS map<string, variant>)"), lambda _, x: F.struct(_kind(x).alias("kind"), _plain(x).alias("plain")))
-    c = records.select(*FILE, "row_no", "table_name", F.explode_outer(entries).alias("field", "e")).select(*FILE, "row_no", "table_name", "field", "e.kind", "e.plain").where(F.col("field").isNotNull())
+    entries = F.transform_values(F.expr("cast(v AS map<string, variant>)"), lambda _, x: F.struct(_kind(x).alias("kind"), _plain(x).alias("plain"), _nested(x, F.to_json(x)).alias("nested"), F.coalesce(_nested(x, _one_value(x)), F.lit(True)).alias("single")))
+    c = records.select(*FILE, "row_no", "table_name", F.explode_outer(entries).alias("field", "e")).select(*FILE, "row_no", "table_name", "field", "e.kind", "e.plain", "e.nested", "e.single").where(F.col("field").isNotNull())
     number = plain_number(F.regexp_replace("plain", r"\s*\([A-Za-z*]+\)$", "")).try_cast("double")
     truth = F.lower("plain")
     c = c.withColumn(
@@ -202,14 +216,17 @@ def lineage(k: DataFrame, renamed: DataFrame) -> DataFrame:
 def consistent_rows(files: DataFrame) -> DataFrame:
     """One row per valid record: symbol, financial_period, loaded_at, and typed branches by original name.
 
-    ``figures`` holds what converts to a number, ``texts`` what doesn't; a value is in one of them.
+    ``figures`` holds what converts to a number, ``texts`` what doesn't; a plain value is in one of them.
+    ``nested`` holds the whole JSON of every list and object; one that doesn't stand for one plain value
+    is there only. ``truths`` holds booleans, which are figures (1 and 0) too.
     """
     c, k, renamed = infer(files)
     origin = lineage(k, renamed).join(k.select(*FILE, "field", "part"), [*FILE, "field"])
     v = c.where(F.col("kind").isNotNull()).join(origin, [*FILE, "field"])
     own = F.col("part").isNull()
     per_field = v.groupBy(*FILE, "row_no", "table_name", "origin").agg(
-        F.first("part").alias("part"), F.max("figure").alias("figure"), F.max("plain").alias("plain"), F.max("canonical").alias("canonical"), F.max("instant").alias("instant")
+        F.first("part").alias("part"), F.max(F.when(F.col("single"), F.col("figure"))).alias("figure"), F.max(F.when(F.col("single"), F.col("plain"))).alias("plain"), F.max("canonical").alias("canonical"), F.max("instant").alias("instant"),
+        F.max(F.when(F.col("kind") == "boolean", F.col("plain").try_cast("boolean"))).alias("truth"), F.max("nested").alias("nested"),
     )
     pair = lambda x: F.struct(F.col("origin"), F.col(x))
     return (
@@ -219,7 +236,9 @@ def consistent_rows(files: DataFrame) -> DataFrame:
             F.max(F.when(F.col("part") == "period", F.col("canonical"))).alias("financial_period"),
             F.timestamp_micros(F.max(F.when(F.col("part") == "time", F.col("instant")))).alias("loaded_at"),
             F.map_from_entries(F.array_sort(F.collect_list(F.when(own & F.col("figure").isNotNull(), pair("figure"))))).alias("figures"),
-            F.map_from_entries(F.array_sort(F.collect_list(F.when(own & F.col("figure").isNull(), pair("plain"))))).alias("texts"),
+            F.map_from_entries(F.array_sort(F.collect_list(F.when(own & F.col("figure").isNull() & F.col("plain").isNotNull(), pair("plain"))))).alias("texts"),
+            F.map_from_entries(F.array_sort(F.collect_list(F.when(own & F.col("truth").isNotNull(), pair("truth"))))).alias("truths"),
+            F.map_from_entries(F.array_sort(F.collect_list(F.when(own & F.col("nested").isNotNull(), pair("nested"))))).alias("nested"),
         )
     )
 

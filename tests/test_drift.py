@@ -56,3 +56,13 @@ def test_one_consistent_table_with_typed_branches(spark):
     assert {(r["texts"] or {}).get("note") for r in t if r["file_no"] < 3} == {"audited"}
     u = {(r["field"], r["kind"]): r["first_file"] for r in drift.unions(f).collect()}
     assert u["sales", "number"] == 1 and u["sales", "text"] == 2 and u["note", "number"] == 3
+
+
+def test_lists_objects_and_booleans_are_kept_whole(spark):
+    spec = {1: rows(several=lambda i: [1.5, i], one=lambda i: [2.5], crore=lambda i: {"amount": 3.5, "unit": "cr"}, lakh=lambda i: {"amount": 4.5, "unit": "lakh"}, deep=lambda i: {"a": {"b": [i]}}, flag=lambda i: i > 2, gap=lambda i: [7, None])}
+    t = drift.consistent_rows(files(spark, spec)).collect()
+    assert len(t) == 6
+    for r in t:
+        i = r["row_no"]
+        assert r["figures"] == {"one": 2.5, "crore": 3.5, "flag": float(i > 2)} and r["texts"] == {} and r["truths"] == {"flag": i > 2}
+        assert {k: json.loads(v) for k, v in r["nested"].items()} == {"several": [1.5, i], "one": [2.5], "crore": {"amount": 3.5, "unit": "cr"}, "lakh": {"amount": 4.5, "unit": "lakh"}, "deep": {"a": {"b": [i]}}, "gap": [7, None]}
