@@ -45,14 +45,12 @@ def _compatible() -> dict[str, str]:
 
 
 def _composed(letters: dict[str, str]) -> dict[str, str]:
-    """Accented look-alikes: the same accents on the Latin letter, where that is one character."""
+    """Accented look-alikes: the same accents on the Latin letter, in one character where there is one."""
     found = {}
     for cp in [*range(0x370, 0x530), *range(0x1F00, 0x2000)]:
         parts = unicodedata.normalize("NFD", chr(cp))
         if len(parts) > 1 and parts[0] in letters:
-            plain = unicodedata.normalize("NFC", letters[parts[0]] + parts[1:])
-            if len(plain) == 1:
-                found[chr(cp)] = plain
+            found[chr(cp)] = unicodedata.normalize("NFC", letters[parts[0]] + parts[1:])
     return found
 
 
@@ -77,7 +75,14 @@ def form_sql(text: str = "text") -> str:
     several = "".join(c for c, p in wide.items() if len(p) > 1)
     sql = f"CASE WHEN regexp_matches({text}, '[{several}]') THEN {spelled} ELSE {sql} END"
     sql = f"nfc_normalize({_translate(sql, single)})"
-    return f"nfc_normalize({_translate(sql, _composed(letters))})"
+    accented = _composed(letters)
+    longer = {c: p for c, p in accented.items() if len(p) > 1}
+    sql = _translate(sql, {c: p for c, p in accented.items() if len(p) == 1})
+    # ASCII stays as it is, so a first look keeps the chain from most texts
+    spelled = sql
+    for c, p in longer.items():
+        spelled = f"replace({spelled}, '{c}', '{p}')"
+    return f"nfc_normalize(CASE WHEN regexp_matches({text}, '[\\x{{0300}}-\\x{{052F}}\\x{{1F00}}-\\x{{1FFF}}]') THEN {spelled} ELSE {sql} END)"
 
 
 def _duck(df: DataFrame, columns: str, schema: str, where: str = "") -> DataFrame:

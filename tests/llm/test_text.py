@@ -124,6 +124,17 @@ def test_forms(spark):
     assert all(unicodedata.is_normalized("NFC", f) for f in form.values())
 
 
+def test_canonically_equal_texts_have_one_form(spark):
+    found = [chr(c) for c in [*range(0x370, 0x530), *range(0x1F00, 0x2000)] if len(unicodedata.normalize("NFD", chr(c))) > 1]
+    texts = [f(c) for c in found for f in (str, lambda c: unicodedata.normalize("NFD", c), lambda c: unicodedata.normalize("NFC", c))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    form = {r["doc_id"]: r["form"] for r in visual.consistent(df, "doc_id", "text").collect()}
+    assert [c for i, c in enumerate(found) if len({form[3 * i + k] for k in range(3)}) > 1] == []
+    assert form[3 * found.index("\u0389")] == "H\u0301" and form[3 * found.index("\u045e")] == "y\u0306"
+    again = spark.createDataFrame(list(form.items()), "doc_id long, text string")
+    assert {r["doc_id"]: r["form"] for r in visual.consistent(again, "doc_id", "text").collect()} == form
+
+
 def test_pairs(spark):
     rows = [(1, "ab c"), (2, "ab c"), (3, "ab c"), (4, None), (5, ""), (6, " ​"), (7, "　"), (8, "x" * 200_000), (9, "x" * 199_999 + "х"), (10, "ab  c"), (11, "lonely"), (12, "lonely")]
     df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, form string")
