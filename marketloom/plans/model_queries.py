@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marketloom.operators import calendar, features, forecast, gap_model, series
 from marketloom.plans.registry import query
-from marketloom.plans.series_queries import BARS, KEY, asof_daily, bars
+from marketloom.plans.series_queries import BARS, KEY, MASKS, asof_daily, bars
 from marketloom.session import checkpoint_dir, table
 
 SRC = series.SOURCE
@@ -107,9 +107,15 @@ def feature_query(spark, d):
     return feature_frame(spark, d)
 
 
-@query("flt15_close_origins")
+_ORIGINS = f"""WITH {BARS}, {MASKS},
+counted AS (SELECT *, row_number() OVER (PARTITION BY symbol, feed_id ORDER BY ts) - 1 AS i, count(*) OVER (PARTITION BY symbol, feed_id) AS n FROM masks)
+SELECT symbol, feed_id, ts, i, close FROM counted WHERE is_close AND i + 1 >= 512 AND i + 1 < n
+QUALIFY row_number() OVER (PARTITION BY symbol, feed_id ORDER BY i DESC) <= 30"""
+
+
+@query("flt15_close_origins", _ORIGINS)
 def origins(spark, d):
-    return features.close_origins(feature_frame(spark, d), 30, context=200).select(*KEY, "i", "close")
+    return features.close_origins(feature_frame(spark, d), features.ORIGINS).select(*KEY, "i", "close")
 
 
 @query("mdl02_03_next_bars")

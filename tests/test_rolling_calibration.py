@@ -99,3 +99,11 @@ def test_predictions_are_calibrated_by_source(spark, tables, monkeypatch):
         k = (r.symbol, r.horizon)
         corr = raw[k].origin_log_return - b[k].bias
         assert np.allclose((r.predicted_price, r.price_q10, r.price_q90), raw[k].origin_price * np.exp([corr, corr + b[k].q10, corr + b[k].q90]), rtol=1e-12)
+
+
+def test_registered_origins_have_the_whole_context(spark, monkeypatch):
+    t = dt.datetime(2024, 1, 1)
+    rows = [("a", 1, t + dt.timedelta(hours=i), i, 520, float(i in (300, 510, 511, 515, 519)), 1.0) for i in range(520)]
+    f = spark.createDataFrame(rows, "symbol string, feed_id long, ts timestamp, i long, n long, is_session_close double, close double")
+    monkeypatch.setattr(model_queries, "feature_frame", lambda *_: f)
+    assert sorted(r.i for r in model_queries.origins(spark, "").collect()) == [511, 515]
