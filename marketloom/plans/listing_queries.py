@@ -145,6 +145,11 @@ def ded07(spark, d):
     return universe(spark, d).groupBy(F.lower(F.trim("company_name")).alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min("isin").alias("isin"))
 
 
+def pairs(spark, d, limit: int | None = None):
+    p = listings.normalised(universe(spark, d)).select("exchange", "symbol").distinct().orderBy("exchange", "symbol")
+    return p.limit(limit) if limit else p
+
+
 @query("src13_14_universe_scan", "SELECT DISTINCT upper(trim(symbol)) AS symbol FROM equity_universe WHERE exchange = 'NSE' AND trim(symbol) <> '' ORDER BY symbol LIMIT 50")
 def src13(spark, d):
     return listings.symbols(universe(spark, d), "NSE", 50)
@@ -152,7 +157,17 @@ def src13(spark, d):
 
 @query("srt03_sorted_pairs", "SELECT DISTINCT exchange, upper(trim(symbol)) AS symbol FROM equity_universe ORDER BY exchange, symbol LIMIT 100")
 def srt03(spark, d):
-    return listings.normalised(universe(spark, d)).select("exchange", "symbol").distinct().orderBy("exchange", "symbol").limit(100)
+    return pairs(spark, d, 100)
+
+
+@query("src14_universe_all", "SELECT DISTINCT upper(trim(symbol)) AS symbol FROM equity_universe WHERE trim(symbol) <> '' ORDER BY symbol")
+def src14(spark, d):
+    return listings.symbols(universe(spark, d), "ALL")
+
+
+@query("srt03_all_pairs", "SELECT DISTINCT exchange, upper(trim(symbol)) AS symbol FROM equity_universe ORDER BY exchange, symbol")
+def srt03_all(spark, d):
+    return pairs(spark, d)
 
 
 @query("agg12_distinct_symbols", "SELECT exchange, count(DISTINCT upper(trim(symbol))) AS n FROM equity_universe WHERE trim(symbol) <> '' GROUP BY exchange")
