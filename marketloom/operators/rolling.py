@@ -2,8 +2,8 @@
 
 The state holds one row per source and calendar day. A day's trailing totals are yesterday's
 totals plus the amounts that arrive today minus those of the day that expires, in whole
-millionths, so no rounding accumulates. Corrections replace the amounts of single days; only
-the dates whose windows contain such a day are recomputed and get the new version.
+millionths, so no rounding accumulates. Corrections replace the amounts of single days; their
+sources are rolled again, and only the dates whose windows contain such a day get the new version.
 
 Defined results: rows without a timestamp belong to no day and are ignored; null and NaN
 readings count as null; of rows with the same source and timestamp the latest ``ingested_at``,
