@@ -1,84 +1,188 @@
 """Rolling totals over trailing calendar days as a versioned daily state.
 
-The state holds one row per source and calendar day. A day's trailing totals are yesterday's
-totals plus the amounts that arrive today minus those of the day that expires, in whole
-millionths, so no rounding accumulates. Corrections replace the amounts of single days; their
-sources are rolled again, and only the dates whose windows contain such a day get the new version.
-
-Defined results: rows without a timestamp belong to no day and are ignored; null and NaN
-readings count as null; of rows with the same source and timestamp the latest ``ingested_at``,
-then the greatest ``load_seq``, counts, with its nulls; days without rows inside a source's
-first and last day come out with what their windows hold (0 where that is nothing).
+The state holds one row per source and calendar day: the day's own amounts and its trailing
+totals, in whole millionths, so no rounding accumulates. A load changes the amounts of some
+(source, day)s. The dates whose windows contain such a day, and the calendar days that are new,
+form stretches; each stretch starts from yesterday's stored totals and goes on day by day,
+
+    totals(day) = totals(yesterday) + arrivals(day) - amounts(expiring day),
+
+so only affected dates are read and written, under the load's version. Of a (source, day)'s rows
+the one with the greatest version counts. A first load is the same thing on an empty state.
+
+Defined results: rows without a timestamp belong to no day and are ignored; null, NaN and
+infinite readings, and those beyond 9e12, count as null; of rows with the same source and
+timestamp the latest ``ingested_at`` (null first), then the greatest ``load_seq``, counts, with
+its nulls; days without rows inside a source's first and last day come out with what their
+windows hold (0 where that is nothing); null parts of a source's key are a source of their own.
+
+Scale: readings shuffle on (source, day), so a hot source is split by its days; a source's
+dates in one task are at most the calendar's. State files are cut into blocks of 32 days, and a
+load reads the blocks that its stretches need.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MILLION = 1_000_000
+DAY_US = 86_400_000_000
+BLOCK_DAYS = 32
+#: Readings from here on aren't whole millionths of a long.
+MOST = 9e12
 
 
 def _micro(c: str) -> Column:
-    return F.when(~F.isnan(c), F.round(F.col(c) * MILLION).cast("long"))
+    return F.when(F.abs(c) < MOST, F.round(F.col(c) * MILLION).cast("long"))
+
+
+def _block(day: Column) -> Column:
+    return F.floor(day / BLOCK_DAYS).cast("int")
 
 
-def daily_amounts(rows: DataFrame, source: list[str], ts: str, measures: list[str], version: tuple[str, ...] = ("ingested_at", "load_seq")) -> DataFrame:
+def _same(a: str, b: str, keys: list[str]) -> list[Column]:
+    return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in keys]
+
+
+def daily_amounts(rows: DataFrame, source: list[str], ts: str, measures: list[str], version: tuple[str, ...] = ("ingested_at", "load_seq"), since: Column | None = None) -> DataFrame:
     """(source..., day, n_<m>, s_<m>...): arrivals per source and UTC day, re-delivered rows settled.
 
-    One shuffle on (source, day): a hot source is split by its days.
+    With ``since``, a condition on new rows, only days with a new row come out.
     """
+    fresh = F.coalesce(since, F.lit(False)) if since is not None else F.lit(True)
     r = (
         rows.where(F.col(ts).isNotNull())
-        .select(*source, F.unix_micros(ts).alias("_t"), *version, *(_micro(m).alias(m) for m in measures))
-        .withColumn("day", F.floor(F.col("_t") / F.lit(86_400_000_000)).cast("int"))
+        .select(*source, F.unix_micros(ts).alias("_t"), *version, fresh.alias("_new"), *(_micro(m).alias(m) for m in measures))
+        .withColumn("day", F.floor(F.col("_t") / F.lit(DAY_US)).cast("int"))
     )
     w = Window.partitionBy(*source, "day").orderBy("_t", *version)
     last = r.withColumn("_next", F.lead("_t").over(w)).where(F.col("_next").isNull() | (F.col("_next") != F.col("_t")))
     aggs = [a for m in measures for a in (F.count(m).alias(f"n_{m}"), F.coalesce(F.sum(m), F.lit(0)).alias(f"s_{m}"))]
-    return last.groupBy(*source, "day").agg(*aggs)
-
-
-def roll(daily: DataFrame, source: list[str], measures: list[str], spans: tuple[int, ...] = (7, 30)) -> DataFrame:
-    """(source..., day, and n_<m>_<k>, s_<m>_<k> for each measure and span), every day from first to last."""
-    amounts = [f"{p}_{m}" for m in measures for p in ("n", "s")]
-    w = Window.partitionBy(*source).orderBy("day")
-    dense = daily.withColumn("_until", F.coalesce(F.lead("day").over(w) - 1, F.col("day"))).select(
-        *source,
-        F.explode(F.sequence("day", "_until")).alias("_d"),
-        "day",
-        *amounts,
-    )
-    dense = dense.select(*source, F.col("_d").alias("day"), *(F.when(F.col("_d") == F.col("day"), F.col(a)).otherwise(F.lit(0)).cast("long").alias(a) for a in amounts))
-    net = dense.select(*source, "day", *amounts, *((F.col(a) - F.coalesce(F.lag(a, k).over(w), F.lit(0))).alias(f"_{a}_{k}") for a in amounts for k in spans))
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    return net.select(*source, "day", *amounts, *(F.sum(f"_{a}_{k}").over(run).alias(f"{a}_{k}") for a in amounts for k in spans))
+    days = last.groupBy(*source, "day").agg(*aggs, F.max("_new").alias("_new"))
+    return days.where("_new").drop("_new")
 
 
-def advance(state: DataFrame | None, changed: DataFrame, source: list[str], measures: list[str], version: int, spans: tuple[int, ...] = (7, 30)) -> DataFrame:
-    """The state after a batch: ``changed`` holds the settled amounts of every (source, day) that the batch touched.
+class DailyState:
+    """The versioned state of some sources in a folder that all executors share.
 
-    Without a state the batch is the whole history. With one, only sources that changed are
-    rolled again; their rows outside every changed window keep their old version.
+    ``totals/block=b`` holds rows of 32 days each, ``sources`` one row per source and version
+    with its first and last day.
     """
-    if state is None:
-        return roll(changed, source, measures, spans).withColumn("version", F.lit(version))
-    amounts = [f"{p}_{m}" for m in measures for p in ("n", "s")]
-    touched = changed.select(*source).distinct()
-    same = [F.col(f"o.{c}").eqNullSafe(F.col(f"c.{c}")) for c in source]
-    old, new = state.alias("o"), changed.alias("c")
-    # days that only fill a gap hold nothing; keeping them as days of their own is harmless inside first and last day
-    kept = old.join(touched.alias("c"), [*same], "left_semi").alias("o").join(new, [*same, F.col("o.day") == F.col("c.day")], "left_anti").select(*source, "day", *amounts)
-    rolled = roll(kept.unionByName(changed.select(*source, "day", *amounts)), source, measures, spans)
-    windows = changed.select(*source, F.explode(F.sequence(F.col("day"), F.col("day") + max(spans) - 1)).alias("day")).distinct()
-    was = state.select(*source, "day", F.col("version").alias("_was"))
-    keys = [*source, "day"]
-    r, a, b = rolled.alias("r"), windows.withColumn("_hit", F.lit(True)).alias("a"), was.alias("b")
-    on = lambda x: [F.col(f"r.{c}").eqNullSafe(F.col(f"{x}.{c}")) for c in keys]
-    fresh = (
-        r.join(a, on("a"), "left")
-        .join(b, on("b"), "left")
-        .select("r.*", F.when(F.col("_hit").isNotNull() | F.col("_was").isNull(), F.lit(version)).otherwise(F.col("_was")).alias("version"))
-    )
-    untouched = old.join(touched.alias("c"), [*same], "left_anti")
-    return untouched.unionByName(fresh)
+
+    def __init__(self, spark: SparkSession, path: str, source: T.StructType, measures: list[str], spans: tuple[int, ...] = (7, 30)):
+        self.spark, self.path, self.spans = spark, path.rstrip("/"), spans
+        self.source, self.measures = source.fieldNames(), list(measures)
+        self.amounts = [f"{p}_{m}" for m in measures for p in ("n", "s")]
+        self.totals = [f"{a}_{k}" for a in self.amounts for k in spans]
+        long = [T.StructField(c, T.LongType()) for c in (*self.amounts, *self.totals)]
+        day = T.StructField("day", T.IntegerType())
+        self._row = T.StructType([*source, day, *long, T.StructField("version", T.IntegerType()), T.StructField("block", T.IntegerType())])
+        self._edge = T.StructType([*source, T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])
+        self.version = 0
+
+    def current(self, blocks: list[int] | None = None) -> DataFrame:
+        """(source..., day, amounts, totals, version) as of now, of all dates or of those in ``blocks``."""
+        if not self.version:
+            return self.spark.createDataFrame([], self._row).drop("block")
+        rows = self.spark.read.schema(self._row).parquet(f"{self.path}/totals")
+        if blocks is not None:
+            rows = rows.where(F.col("block").isin(blocks))
+        if self.version > 1:
+            newest = F.max_by(F.struct(*self.amounts, *self.totals), "version").alias("_r")
+            rows = rows.groupBy(*self.source, "day").agg(newest, F.max("version").alias("version")).select(*self.source, "day", "_r.*", "version")
+        return rows.select(*self.source, "day", *self.amounts, *self.totals, "version")
+
+    def edges(self) -> DataFrame:
+        """(source..., first, last): the calendar of each source as of now."""
+        if not self.version:
+            return self.spark.createDataFrame([], self._edge)
+        return self.spark.read.schema(self._edge).parquet(f"{self.path}/sources/{self.version:06d}")
+
+    def advance(self, changed: DataFrame) -> int:
+        """Takes a load in; ``changed`` has the settled amounts of every (source, day) it touched and is read several times."""
+        version, src, reach = self.version + 1, self.source, max(self.spans)
+        changed = changed.select(*src, "day", *self.amounts)
+        before = self.edges()
+        came = changed.groupBy(*src).agg(F.min("day").alias("first"), F.max("day").alias("last"))
+        span = (
+            came.alias("c").join(before.alias("b"), _same("c", "b", src), "left")
+            .select(*(F.col(f"c.{c}") for c in src), F.col("b.first").alias("was_first"), F.col("b.last").alias("was_last"),
+                    F.least("c.first", "b.first").alias("first"), F.greatest("c.last", "b.last").alias("last"))
+        )
+        if self.version:
+            kept = before.alias("b").join(came.alias("c"), _same("b", "c", src), "left_anti")
+            span = span.unionByName(kept.select(*src, F.lit(None).cast("int").alias("was_first"), F.lit(None).cast("int").alias("was_last"), "first", "last"))
+        edge = f"{self.path}/sources/{version:06d}"
+        span.write.parquet(edge)
+        span = self.spark.read.parquet(edge)
+
+        # intervals of affected dates, merged into stretches
+        ends = span.where(F.col("was_first").isNotNull())
+        more = ends.where("was_last < last").select(*src, (F.col("was_last") + 1).alias("lo"), F.col("last").alias("hi")).unionByName(
+            ends.where("first < was_first").select(*src, F.col("first").alias("lo"), (F.col("was_first") - 1).alias("hi")))
+        fresh = changed.alias("c").join(span.alias("s"), _same("c", "s", src))
+        hit = fresh.select(*(F.col(f"c.{c}") for c in src), F.col("day").alias("lo"), F.least(F.col("day") + (reach - 1), F.col("last")).alias("hi"))
+        # where there was no source before, its whole calendar is new
+        whole = fresh.where("was_first IS NULL").select(*(F.col(f"c.{c}") for c in src), F.col("first").alias("lo"), F.col("last").alias("hi")).distinct()
+        w = Window.partitionBy(*src).orderBy("lo", "hi")
+        spans = hit.unionByName(more).unionByName(whole).withColumn("_upto", F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+        starts = F.when(F.col("_upto").isNull() | (F.col("lo") > F.col("_upto") + 1), F.col("lo"))
+        stretch = spans.withColumn("start", F.last(starts, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*src, "start").agg(F.max("hi").alias("stop"))
+        dates = stretch.select(*src, "start", F.explode(F.sequence("start", "stop")).alias("day"))
+
+        # what arrives and what expires on each date, and yesterday's totals at the start of each stretch
+        needed = stretch.select(F.explode(F.sequence(_block(F.col("start") - (reach + 1)), _block(F.col("stop"))))).distinct()
+        old = self.current(sorted(b for (b,) in needed.collect()) if self.version else None)  # as many as the calendar has
+        amounts = changed
+        if self.version:
+            still = old.alias("o").join(changed.alias("c"), _same("o", "c", [*src, "day"]), "left_anti")
+            amounts = changed.unionByName(still.select(*src, "day", *self.amounts))
+        zero = F.lit(0).cast("long")
+        at = lambda k: F.struct((F.col("day") + k).alias("day"), *(F.col(a).alias(a) if k == 0 else zero.alias(a) for a in self.amounts),
+                                *((F.col(a) if k == 0 else -F.col(a) if s == k else zero).alias(f"{a}_{s}") for a in self.amounts for s in self.spans))
+        moves = amounts.select(*src, F.explode(F.array(*(at(k) for k in (0, *self.spans)))).alias("_e")).select(*src, "_e.*")
+        if self.version:
+            base = stretch.alias("s").join(old.alias("o"), [*_same("s", "o", src), F.col("o.day") == F.col("s.start") - 1])
+            moves = moves.unionByName(base.select(*(F.col(f"s.{c}") for c in src), F.col("start").alias("day"), *(zero.alias(a) for a in self.amounts), *self.totals))
+        values = [*self.amounts, *self.totals]
+        moves = moves.groupBy(*src, "day").agg(*(F.sum(c).alias(c) for c in values))
+        filled = dates.alias("d").join(moves.alias("m"), _same("d", "m", [*src, "day"]), "left").select(*(F.col(f"d.{c}") for c in (*src, "start", "day")), *(F.coalesce(F.col(f"m.{c}"), zero).alias(c) for c in values))
+        run = Window.partitionBy(*src, "start").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+        rows = filled.select(*src, "day", *self.amounts, *(F.sum(c).over(run).alias(c) for c in self.totals), F.lit(version).alias("version"), _block(F.col("day")).alias("block"))
+        rows.write.mode("append").partitionBy("block").parquet(f"{self.path}/totals")
+        self.version = version
+        return version
+
+
+def load_bounds(rows: DataFrame, loaded_at: str, loads: int) -> list:
+    """Instants that cut the rows' loading time into ``loads`` equal parts; fewer where it is short."""
+    lo, hi = rows.agg(F.min(F.unix_micros(loaded_at)), F.max(F.unix_micros(loaded_at))).first()
+    if lo is None:
+        return []
+    return sorted({lo + (hi - lo) * k // loads for k in range(1, loads)} - {hi})
+
+
+def maintain(state: DailyState, rows: DataFrame, ts: str, loaded_at: str, bounds: list, settle) -> DailyState:
+    """Feeds rows to the state load by load, cut at ``bounds`` (microseconds); ``settle(df, name)`` writes a table once.
+
+    For each load only the rows of the touched blocks of days are read, up to its bound.
+    """
+    us = F.unix_micros(loaded_at)
+    for i in range(len(bounds) + 1):
+        lo, hi = (bounds[i - 1] if i else None), (bounds[i] if i < len(bounds) else None)
+        upto = rows if hi is None else rows.where(F.col(loaded_at).isNull() | (F.col(loaded_at) <= F.timestamp_micros(F.lit(hi))))
+        since = None
+        if lo is not None:
+            since = us > lo
+            part = upto.where(F.col(loaded_at) > F.timestamp_micros(F.lit(lo))).where(F.col(ts).isNotNull())
+            blocks = sorted(b for (b,) in part.select(F.floor(F.unix_micros(ts) / F.lit(DAY_US * BLOCK_DAYS)).cast("int")).distinct().collect())
+            if not blocks:
+                continue
+            near = F.lit(False)
+            for b in blocks:
+                near |= F.col(ts).between(*(F.timestamp_micros(F.lit(x)) for x in (b * BLOCK_DAYS * DAY_US, (b + 1) * BLOCK_DAYS * DAY_US - 1)))
+            upto = upto.where(near)
+        state.advance(settle(daily_amounts(upto, state.source, ts, state.measures, since=since), f"load{i}"))
+    return state

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.operators import drift, eav, known_at, rolling, spikes, stamps
-from marketloom.session import table
+from marketloom.session import table, work_dir, written
 
 RETURN_FIELDS = {"nifty": "nifty_day_return", "usdinr": "usdinr_day_return", "nasdaq": "nasdaq_overnight_return"}
 
@@ -60,24 +61,30 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("event_id", name.alias("field_name"), F.col("version.obs_id").alias("obs_id"))
 
 
-SOURCE = ["symbol", "feed_id"]
+P5_MEASURES = {"hourly_prices": ("fall_probability", "fall_q10"), "features": ("ret_20d", "vol_20d")}
+#: Loads into which the queries cut the tables by loading time; each but the first corrects the state of those before.
+P5_LOADS = 4
 
 
-def _rolled(df: DataFrame, measures: list[str]) -> DataFrame:
-    daily = rolling.daily_amounts(df, SOURCE, "timestamp", measures)
-    state = rolling.advance(None, daily, SOURCE, measures, version=1)
-    rows = ", ".join(f"'{m}', n_{m}_7, s_{m}_7, n_{m}_30, s_{m}_30" for m in measures)
-    return state.select(
-        *SOURCE,
-        F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.col("day")), "yyyy-MM-dd").alias("for_day"),
-        F.expr(f"stack({len(measures)}, {rows}) AS (measure, n_7d, total_7d, n_30d, total_30d)"),
-    ).select("measure", *SOURCE, "for_day", "n_7d", "total_7d", "n_30d", "total_30d")
+def p5_state(spark: SparkSession, sf_dir: str, loads: int = P5_LOADS) -> rolling.DailyState:
+    """The daily state of both tables' sources after all loads; a source's two measures are a and b."""
+    keys = ["symbol", "feed_id", "timestamp", "ingested_at", "load_seq"]
+    parts = [table(spark, sf_dir, t).select(F.lit(t).alias("kept_in"), *keys, F.col(a).alias("a"), F.col(b).alias("b")) for t, (a, b) in P5_MEASURES.items()]
+    rows = parts[0].unionByName(parts[1])
+    source = T.StructType([rows.schema[c] for c in ("kept_in", "symbol", "feed_id")])
+    state = rolling.DailyState(spark, work_dir(spark, "rolling"), source, ["a", "b"])
+    return rolling.maintain(state, rows, "timestamp", "ingested_at", rolling.load_bounds(rows, "ingested_at", loads), written)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = _rolled(table(spark, sf_dir, "hourly_prices"), ["fall_probability", "fall_q10"])
-    features = _rolled(table(spark, sf_dir, "features"), ["ret_20d", "vol_20d"])
-    return prices.unionByName(features)
+    name = lambda i: F.expr("CASE kept_in " + " ".join(f"WHEN '{t}' THEN '{m[i]}'" for t, m in P5_MEASURES.items()) + " END")
+    rows = p5_state(spark, sf_dir).current().withColumns({"m_a": name(0), "m_b": name(1)})
+    return rows.select(
+        "symbol",
+        "feed_id",
+        F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.col("day")), "yyyy-MM-dd").alias("for_day"),
+        F.expr("stack(2, m_a, n_a_7, s_a_7, n_a_30, s_a_30, m_b, n_b_7, s_b_7, n_b_30, s_b_30) AS (measure, n_7d, total_7d, n_30d, total_30d)"),
+    ).select("measure", "symbol", "feed_id", "for_day", "n_7d", "total_7d", "n_30d", "total_30d")
 
 
 def p5_averages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +42,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
             where = tempfile.mkdtemp(prefix="marketloom-checkpoint-")
         sc.setCheckpointDir(where)
     return sc.getCheckpointDir()
+
+
+_FOLDERS: dict[str, str] = {}
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder of this application below the checkpoint folder, seen by all executors."""
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        _FOLDERS[app] = f"{checkpoint_dir(spark)}/marketloom-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(discard, spark)
+    return f"{_FOLDERS[app]}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written once as Parquet and read back: its lineage is cut and its branches don't repeat it."""
+    where = work_dir(df.sparkSession, name)
+    df.write.parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)
+
+
+def discard(spark: SparkSession) -> None:
+    """Removes what ``work_dir`` and ``written`` left behind; results that were not read yet are lost."""
+    try:
+        where = _FOLDERS.pop(spark.sparkContext.applicationId, None)
+        if where:
+            path = spark._jvm.org.apache.hadoop.fs.Path(where)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the session may be gone already
+        pass

@@ -2,7 +2,11 @@ import datetime as dt
 import random
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from marketloom.operators import asof, eav, known_at, rolling
+from marketloom.session import work_dir, written
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -57,7 +61,7 @@ def by_day(rows):
     days = defaultdict(list)
     for (s, f, t), (_, m) in last.items():
         days[s, f, (t.date() - dt.date(1970, 1, 1)).days].append(m)
-    return {k: (sum(x is not None and x == x for x in v), sum(round(x * 1e6) for x in v if x is not None and x == x)) for k, v in days.items()}
+    return {k: (sum(x is not None and abs(x) < 9e12 for x in v), sum(round(x * 1e6) for x in v if x is not None and abs(x) < 9e12)) for k, v in days.items()}
 
 
 def brute_roll(days):
@@ -70,27 +74,52 @@ def brute_roll(days):
     return out
 
 
+SRC = T.StructType().add("symbol", "string").add("feed_id", "long")
+
+
 def state_of(df):
     return {(r["symbol"], r["feed_id"], r["day"]): (r["n_m_7"], r["s_m_7"], r["n_m_30"], r["s_m_30"]) for r in df.collect()}
 
 
+def fresh_state(spark):
+    return rolling.DailyState(spark, work_dir(spark, "rolling"), SRC, ["m"])
+
+
 def test_rolling_state_and_corrections(spark):
-    src = ["symbol", "feed_id"]
-    first, second = readings(1, 300), [(*x[:5], x[5] + 5000, x[6]) for x in readings(2, 12)]
-    load = lambda rows: rolling.daily_amounts(spark.createDataFrame(rows, SCHEMA), src, "ts", ["m"])
-    v1 = rolling.advance(None, load(first), src, ["m"], 1)
-    assert state_of(v1) == brute_roll(by_day(first))
-    want = by_day(first + second)
-    touched = {(s, f, (t.date() - dt.date(1970, 1, 1)).days) for s, f, t, *_ in second if t is not None}
-    changed = load(first + second).collect()
-    changed = spark.createDataFrame([r for r in changed if (r["symbol"], r["feed_id"], r["day"]) in touched], "symbol string, feed_id long, day int, n_m long, s_m long")
-    v2 = rolling.advance(v1, changed, src, ["m"], 2)
-    assert state_of(v2) == brute_roll(want)
-    for r in v2.collect():
-        near = any((r["symbol"], r["feed_id"]) == k[:2] and 0 <= r["day"] - k[2] < 30 for k in touched)
-        assert near == (r["version"] == 2) or state_of(v1).get((r["symbol"], r["feed_id"], r["day"])) is None
-    empty = spark.createDataFrame([], SCHEMA)
-    assert rolling.advance(None, rolling.daily_amounts(empty, src, "ts", ["m"]), src, ["m"], 1).collect() == []
+    loads = [readings(1, 300), readings(2, 12), [("c", 1, T0 + dt.timedelta(days=400), 1.0, T0, 1, ""), ("a", 1, T0 + dt.timedelta(days=160), 2.0, T0, 2, ""), ("b", 1, T0 - dt.timedelta(days=50), 2.0, T0, 3, "")], [("c", 1, T0 + dt.timedelta(days=390), float("inf"), T0, 4, "")]]
+    loads = [[(*x[:5], x[5] + 5000 * i, x[6]) for x in rows] for i, rows in enumerate(loads)]
+    state, seen, versions = fresh_state(spark), [], {}
+    for i, rows in enumerate(loads):
+        seen += rows
+        now = by_day(seen)
+        touched = {(s, f, (t.date() - dt.date(1970, 1, 1)).days) for s, f, t, *_ in rows if t is not None}
+        amounts = rolling.daily_amounts(spark.createDataFrame(seen, SCHEMA), SRC.fieldNames(), "ts", ["m"])
+        changed = amounts.join(spark.createDataFrame(list(touched), "s string, f long, d int"), F.expr("symbol <=> s AND feed_id <=> f AND day = d"), "left_semi")
+        assert state.advance(written(changed, "changed")) == i + 1
+        want = brute_roll(now)
+        got = state.current().collect()
+        assert state_of(state.current()) == want
+        # only dates whose windows hold a changed day, and new dates, are written again
+        hit = {k for k in want if k not in versions or any(k[:2] == x[:2] and 0 <= k[2] - x[2] < 30 for x in touched)}
+        assert {(r["symbol"], r["feed_id"], r["day"]) for r in got if r["version"] == i + 1} == hit
+        assert i == 0 or len(hit) < len(want)
+        versions = {(r["symbol"], r["feed_id"], r["day"]): r["version"] for r in got}
+    assert sum(r["n_m_7"] for r in got if r["symbol"] == "c") == 7 - 6  # an infinite reading is none
+
+
+def test_loads_cut_by_loading_time_end_in_the_same_state(spark):
+    rows = readings(5, 400) + [("a", 1, T0 + dt.timedelta(days=3), 9.0, None, 7_000, "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    cuts = rolling.load_bounds(df, "ingested_at", 5)
+    assert len(cuts) == 4 and rolling.load_bounds(df.limit(0), "ingested_at", 5) == []
+    # one row has no loading time: it is the oldest
+    want = brute_roll(by_day([(*r[:4], r[4] or dt.datetime.min, *r[5:]) for r in rows]))
+    for bounds in (cuts, []):
+        state = rolling.maintain(fresh_state(spark), df, "ts", "ingested_at", bounds, written)
+        assert state.version == len(bounds) + 1
+        assert state_of(state.current()) == want
+    empty = rolling.maintain(fresh_state(spark), df.limit(0), "ts", "ingested_at", [], written)
+    assert empty.current().collect() == []
 
 
 def facts(spark, rows):
