@@ -2,21 +2,35 @@
 
 Every source (one measured series) is a sequence of readings with four hidden states: normal,
 spike, stuck and out of range. A reading's evidence is its distance from the levels just before
-and just after it in units of the source's own median step (volumes: in units of the source's
-median), whether it repeats the reading before it, and whether it violates a hard bound.
-Forward-backward probabilities over the sequence name suspects; a suspect is flagged if it also
-meets the stated limits exactly (``Rule``).
+and just after it in units of the source's own limit (amounts: in units of a multiple of the
+source's median), whether it repeats the reading before it, and whether it violates a hard bound.
+The limits of ``Rule`` are part of the model: they are the edges of the emissions' supports and
+the price of a stuck stretch. Forward-backward probabilities over the whole sequence assign the
+flags: a reading is flagged where any state but normal is the likelier, and by nothing else.
+
+How the limits enter:
+
+* distance: normal readings lie within the limit (an exponential cut off there), spikes beyond
+  it (a power law from there), stuck ones anywhere;
+* repeats: in the normal state a source repeats a reading with the small chance ``_REPEAT``, in
+  the stuck state always. Entering and leaving the stuck state cost as much together as
+  ``run - 1.5`` normal repeats, so that a stretch of ``run - 1`` repeats (a run of ``run`` equal
+  readings) is likelier stuck and a shorter one likelier chance. A source of which
+  ``most_repeats`` or more of the readings repeat does so normally, and a repeat says nothing;
+* bounds: only the out-of-range state emits a reading outside them.
 
 Scale: sources are cut into chunks by the rank of the reading, each with a halo of readings
 from its neighbours, so a source with a third of all rows is many tasks; ranks come from
-per-(source, period) counts, never from one window over a whole source. Source medians are
-mergeable sketches (``percentile_approx``, exact up to ``accuracy`` distinct readings).
+per-(source, period) counts, never from one window over a whole source. Chunks reach Python one
+after the other and only those of the current batch and the open one are held, however many a
+task has. Source medians are mergeable sketches (``percentile_approx``, exact up to ``accuracy``
+distinct readings).
 
 Defined results: null and NaN are missing and never flagged, nor do they break a run; each
-instant counts once, with the reading loaded first; other rows of the instant are judged by
-their own reading against the same neighbours (a repeat only if they equal the judged one);
-readings without a neighbour on one side are no spikes; a source whose readings never move
-has no spikes; an empty table gives an empty result.
+instant counts once, with the reading loaded first; other rows of the instant are flagged with it
+if they hold the same reading, and never otherwise; readings without a neighbour on one side are
+no spikes; a source whose readings never move has no spikes; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -48,34 +62,42 @@ class Rule:
 LEVEL, AMOUNT = Rule(level=True), Rule(level=False)
 
 # The model: states normal, spike, stuck, out of range.
-_START = np.array([0.97, 0.01, 0.01, 0.01])
-_MOVE = np.array([
-    [0.975, 0.010, 0.010, 0.005],
-    [0.600, 0.380, 0.010, 0.010],
-    [0.080, 0.005, 0.910, 0.005],
-    [0.800, 0.010, 0.010, 0.180],
-])
-#: Probability of being in another state than normal from which a reading is suspected.
-SUSPECT = 0.02
-
-
-def _emissions(far: np.ndarray, repeat: np.ndarray, bound: np.ndarray, rate: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """P(evidence | state) of each reading; ``far`` in limits (1 is the limit of a spike)."""
+NORMAL, SPIKE, STUCK, OUT = range(4)
+#: Chance of a repeat in the normal state, and a chance that rules a state out.
+_REPEAT, _NEVER = 1e-8, 1e-200
+#: Chances of a spike or a bad reading after a sound one, and of another one after it.
+_BREAK, _LAST = 0.02, 0.4
+
+
+def transitions(run: int = 8) -> np.ndarray:
+    """The move matrix; the last row and column are the sequence's beginning and its end, which is as after a normal reading."""
+    edge = _REPEAT ** ((run - 1.5) / 2)  # the price of entering, and of leaving, the stuck state
+    m = np.empty((4, 4))
+    m[NORMAL] = 1 - 2 * _BREAK, _BREAK, edge, _BREAK
+    m[SPIKE] = 1 - 2 * _LAST, _LAST, edge, _LAST
+    m[OUT] = 1 - 2 * _LAST, _LAST, edge, _LAST
+    m[STUCK] = edge, edge * _BREAK, 1.0, edge * _BREAK
+    return m
+
+
+def emissions(far: np.ndarray, repeat: np.ndarray, bound: np.ndarray, restless: np.ndarray) -> np.ndarray:
+    """P(evidence | state) of each reading; ``far`` in limits (1 is the limit), ``restless`` where the source repeats anyway."""
+    near = far <= 1
+    within = 12 * np.exp(-12 * np.minimum(far, 1))
+    beyond = np.maximum(np.maximum(far, 1) ** -2.0, 1e-30)
+    chance = np.where(repeat, np.where(restless, 1.0, _REPEAT), 1.0)
     out = np.empty((len(far), 4))
-    u = np.maximum(far, 1e-6)
-    plain = np.exp(-np.minimum(u * 12, 60)) + 1e-12
-    wide = np.where(u > 0.75, 0.2, 0.2 * u**2)
-    rep = np.where(repeat, np.clip(rate, 0.01, 0.98), 1 - np.clip(rate, 0.01, 0.98))
-    inside = np.where(bound, 1e-9, 1.0)
-    out[:, 0] = plain * rep * inside
-    out[:, 1] = wide * np.where(repeat, 0.3, 0.7) * inside
-    out[:, 2] = np.where(repeat, 0.98, 1e-4) * plain * inside
-    out[:, 3] = np.where(bound, 1.0, 1e-12)
-    return out * scale[:, None]
-
-
-def posterior_normal(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    out[:, NORMAL] = np.where(near, within, _NEVER) * chance
+    out[:, SPIKE] = np.where(near, _NEVER, beyond) * chance
+    out[:, STUCK] = np.where(near, within, beyond) * np.where(repeat, 1.0, _NEVER)
+    out[:, OUT] = _NEVER
+    out[bound] = _NEVER, _NEVER, _NEVER, 1.0
+    return out
+
+
+def posterior_normal(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, move: np.ndarray | None = None) -> np.ndarray:
     """Forward-backward over many sequences at once; P(normal | all evidence) of every reading."""
+    move = transitions() if move is None else move
     out = np.ones(len(emit))
     order = np.argsort(-lengths, kind="stable")
     for lo in range(0, len(order), 512):
@@ -86,19 +108,19 @@ def posterior_normal(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray)
         steps = int(size[0])
         live = np.searchsorted(-size, -np.arange(steps), side="left")  # sequences longer than t
         ahead = np.empty((steps, len(rows), 4))
-        f = _START[None, :]
+        f = move[NORMAL][None, :]
         for t in range(steps):
             n = live[t]
-            f = (f[:n] @ _MOVE if t else np.repeat(f, n, 0)) * emit[first[:n] + t]
+            f = (f[:n] @ move if t else np.repeat(f, n, 0)) * emit[first[:n] + t]
             f /= f.sum(1, keepdims=True)
             ahead[t, :n] = f
-        b = np.ones((len(rows), 4))
+        b = np.repeat(move[:, NORMAL][None, :], len(rows), 0)
         for t in range(steps - 1, -1, -1):
             n = live[t]
             g = ahead[t, :n] * b[:n]
-            out[first[:n] + t] = g[:, 0] / g.sum(1)
+            out[first[:n] + t] = g[:, NORMAL] / g.sum(1)
             if t:
-                nb = (b[:n] * emit[first[:n] + t]) @ _MOVE.T
+                nb = (b[:n] * emit[first[:n] + t]) @ move.T
                 b[:n] = nb / nb.sum(1, keepdims=True)
     return out
 
@@ -124,17 +146,6 @@ def _levels(x: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return one(-1), one(1)
 
 
-def _runs(x: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(repeats the reading before it, length of the run it is in)."""
-    n = len(x)
-    rep = np.zeros(n, bool)
-    if n:
-        rep[1:] = (x[1:] == x[:-1]) & (seg[1:] == seg[:-1])
-    head = np.flatnonzero(~rep)
-    size = np.diff(np.append(head, n))
-    return rep, np.repeat(size, size)
-
-
 def judge(x, rank, seg, level, scale, rate, run, steps, multiple, most):
     """Flags of rows in (segment, rank, load) order; the per-row arguments are those of the row's source.
 
@@ -148,8 +159,7 @@ def judge(x, rank, seg, level, scale, rate, run, steps, multiple, most):
     of = np.cumsum(lead) - 1  # the judged reading each row belongs to
     at = np.flatnonzero(lead)
     jx, jseg, jlevel = x[at], seg[at], level[at]
-    bound_all = ~np.isfinite(x) | np.where(level, x <= 0, x < 0)
-    jbound = bound_all[at]
+    jbound = ~np.isfinite(jx) | np.where(jlevel, jx <= 0, jx < 0)
     # levels are those of readings inside the bounds
     inside = np.flatnonzero(~jbound & jlevel)
     before, after = np.full(len(at), np.nan), np.full(len(at), np.nan)
@@ -157,21 +167,20 @@ def judge(x, rank, seg, level, scale, rate, run, steps, multiple, most):
         b, a = _levels(jx[inside], jseg[inside])
         before[inside], after[inside] = b, a
     with np.errstate(divide="ignore", invalid="ignore"):
-        off = np.minimum(np.abs(x / before[of] - 1), np.abs(x / after[of] - 1)) / (steps * scale)
-        far = np.where(level, off, x / (multiple * scale))
-    far = np.where(bound_all | ~np.isfinite(far), 0.0, np.maximum(far, 0.0))
-    jrep, jrun = _runs(jx, jseg)
+        off = np.minimum(np.abs(jx / before - 1), np.abs(jx / after - 1)) / (steps[at] * scale[at])
+        far = np.where(jlevel, off, jx / (multiple[at] * scale[at]))
+    far = np.where(jbound | ~np.isfinite(far), 0.0, np.maximum(far, 0.0))
+    jrep = np.zeros(len(at), bool)
+    jrep[1:] = (jx[1:] == jx[:-1]) & (jseg[1:] == jseg[:-1])
     starts = np.flatnonzero(np.append(True, jseg[1:] != jseg[:-1]))
     lengths = np.diff(np.append(starts, len(at)))
-    emit = _emissions(far[at], jrep, jbound, rate[at], np.ones(len(at)))
-    normal = posterior_normal(emit, starts, lengths)
-    # a row that isn't the judged one takes its own evidence against the same neighbours
-    own = _emissions(far, np.zeros(n, bool), bound_all, rate, np.ones(n)) @ np.diag(_START)
-    own_normal = own[:, 0] / own.sum(1)
-    same = x == jx[of]
-    suspect = np.where(lead | same, normal[of], own_normal) < 1 - SUSPECT
-    stuck = jrep & (jrun >= run[at]) & (rate[at] < most[at])
-    return suspect & (bound_all | (far > 1) | (stuck[of] & same))
+    emit = emissions(far, jrep, jbound, rate[at] >= most[at])
+    flagged = np.zeros(len(at), bool)
+    for r in np.unique(run[at]):  # the fields' rules may price stretches differently
+        some = run[at][starts] == r
+        normal = posterior_normal(emit, starts[some], lengths[some], transitions(int(r)))
+        flagged |= normal < 0.5
+    return flagged[of] & (x == jx[of])
 
 
 def readings(df: DataFrame, table_name: str, fields: dict[str, Rule], key: list[str], at_us, load_seq: str) -> DataFrame:
@@ -237,18 +246,12 @@ def flag(long: DataFrame, rules: dict[tuple[str, str], Rule], chunk: int = CHUNK
     parts = chunks.unionByName(stats).repartition(*[F.col(c) for c in (*src, "chunk")]).sortWithinPartitions(*src, "chunk", "rank", "load_seq")
     limits = [rules[k] for k in kinds]
 
-    def run(batches):
-        got = list(batches)
-        if not got:
-            return
-        t = pa.Table.from_batches(got).combine_chunks()
-        if t.num_rows == 0:
-            return
+    names = np.array(kinds, object)
+
+    def hits(t: pa.Table):
         col = lambda c: t.column(c).to_numpy(zero_copy_only=False)
         kind, at, rank, x = col("kind"), col("chunk"), col("rank"), col("x")
         head = np.flatnonzero(rank == -1)
-        if not len(head):
-            return
         # rows of a chunk follow the row with its source's figures
         seg = np.cumsum(rank == -1) - 1
         rate, scale = col("rate")[head][seg], x[head][seg]
@@ -258,10 +261,21 @@ def flag(long: DataFrame, rules: dict[tuple[str, str], Rule], chunk: int = CHUNK
         of = lambda f: np.array([getattr(r, f) for r in limits])[kind]
         hit = judge(x, rank, seg, of("level"), scale, rate, of("run"), of("steps"), of("multiple"), of("most_repeats"))
         hit &= rank // chunk == at  # the halo is judged at home
-        seq = pick(col("load_seq"))[hit]
-        names = np.array([f"{a}|{b}" for a, b in kinds], object)[kind[hit]]
-        if len(seq):
-            a, b = zip(*(s.split("|") for s in names.tolist()))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(seq.astype(np.int64))], names=["table_name", "field_name", "load_seq"])
+        seq, which = pick(col("load_seq"))[hit].astype(np.int64), kind[hit]
+        return pa.RecordBatch.from_arrays([*(pa.array(names[which, i], pa.string()) for i in (0, 1)), pa.array(seq)], names=["table_name", "field_name", "load_seq"])
+
+    def run(batches):
+        open_ = []  # the rows of the chunk that isn't over, from its head
+        for b in batches:
+            heads = np.flatnonzero(b.column("rank").to_numpy() == -1)
+            if not len(heads):
+                open_.append(b)
+                continue
+            over = pa.Table.from_batches([*open_, b.slice(0, heads[-1])])
+            open_ = [b.slice(heads[-1])]
+            if over.num_rows:
+                yield hits(over)
+        if open_:
+            yield hits(pa.Table.from_batches(open_))
 
     return parts.mapInArrow(run, "table_name string, field_name string, load_seq long")

@@ -25,7 +25,7 @@ SELECT '{table}' AS table_name, '{field}' AS field_name, load_seq FROM (
   runs AS (SELECT *, sum(CASE WHEN rep THEN 0 ELSE 1 END) OVER (PARTITION BY s ORDER BY t) AS run FROM reps),
   stuck AS (SELECT s, t, x AS jx, rep AND count(*) OVER (PARTITION BY s, run) >= 8 AND avg(CASE WHEN rep THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY s) < 0.2 AS stuck FROM runs){near}
   SELECT load_seq FROM raw JOIN stuck USING (s, t) LEFT JOIN scales USING (s){" LEFT JOIN inside USING (s, t)" if level else ""}
-  WHERE bad OR coalesce({far}, false) OR (stuck AND x = jx))"""
+  WHERE x = jx AND (bad OR coalesce({far}, false) OR stuck))"""
 
 
 # The ways a NAV date is written, for DuckDB.

@@ -1,11 +1,23 @@
+import itertools
 import math
 import random
 from statistics import median
 
 import numpy as np
+from pyspark.accumulators import AccumulatorParam
 
 from marketloom.operators import spikes
 
+
+
+class Most(AccumulatorParam):
+    def zero(self, value):
+        return 0
+
+    def addInPlace(self, a, b):
+        return max(a, b)
+
+
 RULES = {("p", "close"): spikes.LEVEL, ("p", "volume"): spikes.AMOUNT}
 
 
@@ -49,8 +61,8 @@ def brute(rows):
                         hit = bool(b and a) and min(abs(x / median(b) - 1), abs(x / median(a) - 1)) > 20 * scale
                     elif not hit and not rule.level:
                         hit = x > 25 * scale
-                    hit = hit or (reps[i] and run_of[i] >= 8 and not quiet and x == judged[i])
-                    if hit:
+                    hit = hit or (reps[i] and run_of[i] >= 8 and not quiet)
+                    if hit and x == judged[i]:
                         out.add(("p", field, seq))
     return out
 
@@ -126,3 +138,79 @@ def test_posterior_is_that_of_one_sequence_alone():
     a = spikes.posterior_normal(emit[:10], np.array([0]), np.array([10]))
     b = spikes.posterior_normal(emit[10:], np.array([0]), np.array([20]))
     assert np.allclose(both, np.concatenate([a, b]))
+
+
+def test_posterior_equals_summing_over_all_state_paths():
+    r = np.random.default_rng(2)
+    move = spikes.transitions(4)
+    far, rep = r.uniform(0, 2, 6), np.array([0, 1, 1, 1, 0, 0], bool)
+    emit = spikes.emissions(far, rep, np.array([0, 0, 0, 0, 0, 1], bool), np.zeros(6, bool))
+    total, normal = 0.0, np.zeros(6)
+    for path in itertools.product(range(4), repeat=6):
+        p = move[spikes.NORMAL, path[0]] * emit[0, path[0]] * move[path[-1], spikes.NORMAL]
+        for t in range(1, 6):
+            p *= move[path[t - 1], path[t]] * emit[t, path[t]]
+        total += p
+        normal += np.where(np.array(path) == spikes.NORMAL, p, 0)
+    assert np.allclose(spikes.posterior_normal(emit, np.array([0]), np.array([6]), move), normal / total)
+
+
+def repeats_of(sizes):
+    return np.concatenate([[False] + [True] * (k - 1) for k in sizes])
+
+
+def test_the_model_tells_stuck_stretches_from_chance_by_their_length():
+    for run in (3, 8, 20):
+        sizes = [run - 1, 1, run, 2 * run, 1, run - 1, 5 * run, run - 1]
+        rep = repeats_of(sizes)
+        n = len(rep)
+        emit = spikes.emissions(np.full(n, 0.3), rep, np.zeros(n, bool), np.zeros(n, bool))
+        got = spikes.posterior_normal(emit, np.array([0]), np.array([n]), spikes.transitions(run)) < 0.5
+        want = np.concatenate([[False] + [k >= run] * (k - 1) for k in sizes])
+        assert (got == want).all()
+        calm = spikes.emissions(np.full(n, 0.3), rep, np.zeros(n, bool), np.ones(n, bool))
+        assert not (spikes.posterior_normal(calm, np.array([0]), np.array([n]), spikes.transitions(run)) < 0.5).any()
+
+
+def test_flags_come_from_forward_backward_alone(spark, monkeypatch):
+    rows = [[s, t, i + 1, c, v] for i, (s, t, c, v) in enumerate(series(400, 0, "s"))]
+    want = brute(rows)
+    assert run(spark, rows, 4096) == want and len(want) > 8
+
+    def judged_by(model):
+        monkeypatch.setattr(spikes, "posterior_normal", model)
+        cols = {c: np.array([r[i] if r[i] is not None else np.nan for r in rows], float) for i, c in ((1, "t"), (3, "x"))}
+        x = cols["x"][~np.isnan(cols["x"])]
+        n = len(x)
+        full = lambda v, k=float: np.full(n, v, k)
+        return spikes.judge(x, np.arange(n), full(0, int), full(True, bool), full(0.004), full(0.01), full(8, int), full(20.0), full(25.0), full(0.2))
+
+    real = spikes.posterior_normal
+    kept = judged_by(real)
+    assert kept.any()
+    # without the sequence: each reading by its own emissions
+    alone = judged_by(lambda emit, starts, lengths, move: emit[:, 0] * move[0, 0] / (emit * move[0]).sum(1))
+    assert (alone != kept).any()
+    assert not judged_by(lambda emit, *_: np.ones(len(emit))).any()
+
+
+def test_memory_is_that_of_a_chunk(spark, monkeypatch):
+    """However many chunks a task has, judge never sees more than a batch and the open chunk."""
+    rows = [[f"s{k}", t, k * 1000 + t + 1, 100.0 + (t * 7 + k) % 13, 5.0 + t % 3] for k in range(60) for t in range(300)]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 500)
+    seen = spark.sparkContext.accumulator(0, Most())
+    real = spikes.judge
+
+    def watched(x, *a):
+        seen.add(len(x))
+        return real(x, *a)
+
+    try:
+        df = spark.createDataFrame(rows, "s string, t long, seq long, close double, volume double").coalesce(1)
+        long = spikes.readings(df, "p", {"close": spikes.LEVEL}, ["s"], df["t"] * 3_600_000_000, "seq")
+        monkeypatch.setattr(spikes, "judge", watched)
+        spikes.flag(long.coalesce(1), RULES, chunk=150, period_days=3).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert 0 < seen.value <= 500 + 150 + 2 * spikes.HALO
