@@ -46,6 +46,61 @@ def test_stream_emits_before_the_end_and_forgets(encoder, peer):
     assert [first, *out] == peer("deconstruction" * 900)
 
 
+def test_every_word_runs_through_the_transducer(encoder, peer, monkeypatch):
+    fresh = encode.Encoder(encoder.ranks)
+    seen = []
+    real = fresh.stream
+    monkeypatch.setattr(fresh, "stream", lambda chunks: real(seen.append(c) or c for c in chunks))
+    text = "On a day, 12 words! " + "終値は" * 900
+    assert fresh.encode(text) == peer(text)
+    assert b"".join(seen) == text.encode()
+    assert max(map(len, seen)) <= 3 * encode.PIECE
+
+
+def vocabulary(r, letters, size, longest):
+    ranks = {bytes([c]): i for i, c in enumerate(letters)}
+    for _ in range(4 * size):
+        t = r.choice(list(ranks)) + r.choice(list(ranks))
+        if len(t) <= longest and t not in ranks and len(ranks) < size:
+            ranks[t] = len(ranks)
+    return ranks
+
+
+def test_lookahead_of_the_merge_list_is_sufficient(monkeypatch):
+    """On random merge lists the tokens emitted early are those of the whole text, and the state keeps its bound."""
+    monkeypatch.setattr(encode, "STEP", 1)
+    r = random.Random(9)
+    early = 0
+    for _ in range(60):
+        e = encode.Encoder(vocabulary(r, b"abc", r.randint(4, 40), r.randint(2, 8)))
+        for _ in range(20):
+            text = bytes(r.choice(b"abc") for _ in range(r.randint(1, 200)))
+            want = e.merge(text)
+            assert list(e.stream(bytes([c]) for c in text)) == want
+            # what has the lookahead behind it doesn't change with the text that follows
+            cut = r.randint(0, len(text))
+            head, at = e.merge(text[:cut]) if cut else [], 0
+            for x, y in zip(head, want):
+                at += len(e.tokens[x])
+                if at + e.lookahead > cut:
+                    break
+                assert x == y
+                early += 1
+        assert e.most_held <= e.lookahead + e.longest + 1
+    assert early > 500
+
+
+def test_state_is_bounded_however_long_the_word(encoder):
+    e = encode.Encoder(encoder.ranks)
+    sizes = []
+    for n in (2_000, 60_000):
+        for word in ("a" * n, "=-" * n, "".join(random.Random(n).choice("abcdeinorst") for _ in range(n))):
+            assert sum(len(e.tokens[t]) for t in e.stream([word.encode()])) == len(word)
+        sizes.append(e.most_held)
+    assert sizes[0] == sizes[1] <= e.lookahead + e.longest + encode.STEP
+    assert e.lookahead == 178
+
+
 def test_decoder_round_trip(encoder):
     d = encode.Decoder(encoder.ranks)
     for t in TEXTS:
