@@ -13,19 +13,19 @@ Defined results: records that aren't complete JSON objects (null, empty, cut off
 nothing, and files without any valid record don't exist; nulls carry no kind, and a path whose
 values are all null keeps its last kind; repeated records change nothing but counts.
 
-Scale: everything is keyed by (feed, file) or finer; only the list of distinct files and paths
-is ordered per feed, so one feed may hold most of the rows.
+Scale: records are parsed once, into cells that are written with the columns a query needs. All
+is keyed by (feed, file) or finer; going and coming fields meet on (feed, file, row, value), so
+only equal values meet and a large file is spread over its rows. Only the list of distinct files
+and paths is ordered per feed, so one feed may hold most of the rows.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.session import checkpoint_dir
-from marketloom.functions.fundamentals import MONTHS, period_name, plain_number
+from marketloom.session import written
+from marketloom.functions.fundamentals import MONTHS, period_of, plain_number, squeeze
 
 FILE = ["feed_id", "file_no"]
 KINDS = ("number", "text", "boolean", "object", "list")
@@ -35,22 +35,10 @@ AGREE, SHAPE = 0.5, 0.8
 UNIT = "cr"
 
 
-def _kind(v: Column) -> Column:
-    t = F.schema_of_variant(v)
-    return (
-        F.when(t == "VOID", None)
-        .when(t == "STRING", "text")
-        .when(t == "BOOLEAN", "boolean")
-        .when(t.startswith("OBJECT"), "object")
-        .when(t.startswith("ARRAY"), "list")
-        .otherwise("number")
-    )
-
-
-def _plain(v: Column) -> Column:
-    """The text of a scalar, of a list's first item or of an object's amount; else the JSON itself."""
-    part = F.coalesce(F.try_variant_get(v, "$.amount", "string"), F.try_variant_get(v, "$[0]", "string"), F.try_variant_get(v, "$", "string"))
-    return F.trim(F.coalesce(part, F.to_json(v)))
+def _kind(json: Column) -> Column:
+    """The kind of a JSON value by its first character; null for null."""
+    c = F.substring(json, 1, 1)
+    return F.when(c == '"', "text").when(c == "{", "object").when(c == "[", "list").when(c.isin("t", "f"), "boolean").when(c != "n", "number")
 
 
 def _one_value(v: Column) -> Column:
@@ -60,33 +48,49 @@ def _one_value(v: Column) -> Column:
     return listed | (F.try_variant_get(v, "$.amount", "string").isNotNull() & (unit == UNIT))
 
 
-def _nested(v: Column, x: Column) -> Column:
-    t = F.schema_of_variant(v)
-    return F.when(t.startswith("OBJECT") | t.startswith("ARRAY"), x)
+def entries(files: DataFrame) -> DataFrame:
+    """One row per path of each valid record: the value as a variant, as JSON, and its kind."""
+    # parsed once: the filter keeps the optimiser from repeating the parser for each use
+    parsed = files.select(*FILE, "row_no", "table_name", F.try_parse_json("payload").alias("v")).where(F.col("v").isNotNull())
+    records = parsed.where(F.schema_of_variant("v").startswith("OBJECT"))
+    # explode_outer, as explode would have the map built once more to filter empty ones
+    e = records.select(*FILE, "row_no", "table_name", F.explode_outer(F.expr("cast(v AS map<string, variant>)")).alias("field", "x")).where(F.col("field").isNotNull())
+    # a null member has a null variant; neither has a kind
+    return e.withColumn("json", F.to_json("x")).withColumn("kind", _kind(F.col("json")))
 
 
 def cells(files: DataFrame) -> DataFrame:
     """One row per path of each valid record: its kind, canonical value, figure, and the parts it could be."""
-    # parsed once: the filter keeps the optimiser from repeating the parser for each use
-    parsed = files.select(*FILE, "row_no", "table_name", F.try_parse_json("payload").alias("v")).where(F.col("v").isNotNull())
-    records = parsed.where(F.schema_of_variant("v").startswith("OBJECT"))
-    # explode_outer, as explode would have the entries computed once more to filter empty ones
-    entries = F.transform_values(F.expr("cast(v AS map<string, variant>)"), lambda _, x: F.struct(_kind(x).alias("kind"), _plain(x).alias("plain"), _nested(x, F.to_json(x)).alias("nested"), F.coalesce(_nested(x, _one_value(x)), F.lit(True)).alias("single")))
-    c = records.select(*FILE, "row_no", "table_name", F.explode_outer(entries).alias("field", "e")).select(*FILE, "row_no", "table_name", "field", "e.kind", "e.plain", "e.nested", "e.single").where(F.col("field").isNotNull())
-    number = plain_number(F.regexp_replace("plain", r"\s*\([A-Za-z*]+\)$", "")).try_cast("double")
-    truth = F.lower("plain")
-    c = c.withColumn(
-        "figure",
-        F.when(truth.isin("true", "yes", "y"), 1.0).when(truth.isin("false", "no", "n"), 0.0).otherwise(number),
+    e = entries(files)
+    several = F.col("kind").isin("object", "list")
+    x = F.col("x")
+    inner = F.coalesce(F.try_variant_get(x, "$.amount", "string"), F.try_variant_get(x, "$[0]", "string"), F.col("json"))
+    plain = F.trim(F.when(several, inner).otherwise(F.try_variant_get(x, "$", "string")))
+    c = e.select(*FILE, "row_no", "table_name", "field", "kind", plain.alias("plain"), F.when(several, F.col("json")).alias("nested"), F.when(several, F.coalesce(_one_value(x), F.lit(False))).otherwise(True).alias("single"))
+    # staged, so that nothing is computed twice and each stage's code stays small enough to be compiled
+    keep = [*FILE, "row_no", "table_name", "field", "kind", "plain", "nested", "single"]
+    text, number = F.col("kind") == "text", F.col("kind") == "number"
+    c = c.select(
+        *keep,
+        F.lower("plain").alias("_low"),
+        F.when(text, F.upper(squeeze(F.col("plain")))).alias("_up"),
+        F.when(F.col("plain").rlike("^(?:19|20)[0-9]{2}(?:0[1-9]|1[0-2])$"), F.col("plain")).alias("_yyyymm"),
+        F.when(number, F.col("plain").try_cast("decimal(20,0)").cast("long")).alias("_whole"),
+        F.regexp_replace("plain", r"\s*\([A-Za-z*]+\)$", "").alias("_bare"),
+        F.when(text & F.col("plain").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:"), F.col("plain")).alias("_stamp"),
+        (text & F.col("plain").rlike(r"^[A-Z]{2}[A-Z0-9&.\-]{0,18}$")).alias("ticker"),
     )
-    yyyymm = F.regexp_extract("plain", r"^(?:19|20)[0-9]{2}(0[1-9]|1[0-2])$", 1)
-    by_number = F.concat(F.try_element_at(F.array(*(F.lit(m) for m in MONTHS)), yyyymm.try_cast("int")), F.lit(" "), F.substring("plain", 1, 4))
-    c = c.withColumn("period", F.when(F.col("kind") == "text", period_name(F.col("plain"))).when(yyyymm != "", by_number))
-    whole = F.when(F.col("kind") == "number", F.col("plain").try_cast("decimal(20,0)").cast("long"))
+    c = c.select(*keep, "ticker", "_low", "_yyyymm", "_whole", "_stamp", plain_number(F.col("_bare")).alias("_number"), period_of(F.col("_up")).alias("_period"))
+    by_number = F.concat(F.try_element_at(F.array(*(F.lit(m) for m in MONTHS)), F.substring("_yyyymm", 5, 2).try_cast("int")), F.lit(" "), F.substring("_yyyymm", 1, 4))
+    whole = F.col("_whole")
     epoch = F.when(whole.between(600_000_000, 9_999_999_999), whole * 1_000_000).when(whole.between(600_000_000_000, 9_999_999_999_999), whole * 1_000).when(whole.between(600_000_000_000_000, 9_999_999_999_999_999), whole)
-    stamp = F.when((F.col("kind") == "text") & F.col("plain").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:"), F.unix_micros(F.col("plain").try_cast("timestamp")))
-    c = c.withColumn("instant", F.coalesce(stamp, epoch))
-    c = c.withColumn("ticker", (F.col("kind") == "text") & F.col("plain").rlike(r"^[A-Z]{2}[A-Z0-9&.\-]{0,18}$"))
+    c = c.select(
+        *keep,
+        "ticker",
+        F.when(F.col("_low").isin("true", "yes", "y"), 1.0).when(F.col("_low").isin("false", "no", "n"), 0.0).otherwise(F.col("_number").try_cast("double")).alias("figure"),
+        F.when(text, F.col("_period")).otherwise(by_number).alias("period"),
+        F.coalesce(F.unix_micros(F.col("_stamp").try_cast("timestamp")), epoch).alias("instant"),
+    )
     canonical = F.coalesce(F.col("period"), F.col("instant").cast("string"), F.col("figure").cast("string"), F.col("plain"))
     return c.withColumn("canonical", F.when(F.col("kind").isNotNull(), canonical))
 
@@ -141,27 +145,33 @@ def _row_keys(c: DataFrame, k: DataFrame) -> DataFrame:
 
 
 def renames(c: DataFrame, k: DataFrame) -> DataFrame:
-    """(feed_id, file_no, field_before, field_after): best mutual matches of going and coming fields."""
-    now, then = k.alias("a"), k.alias("b")
-    came = now.join(then, (F.col("a.feed_id") == F.col("b.feed_id")) & (F.col("a.prev_file") == F.col("b.file_no")) & (F.col("a.field") == F.col("b.field")), "left_anti").where(F.col("prev_file").isNotNull()).select(*FILE, "prev_file", F.col("field").alias("field_after"), F.col("part").alias("part_after"))
-    went = then.join(now, (F.col("a.feed_id") == F.col("b.feed_id")) & (F.col("b.next_file") == F.col("a.file_no")) & (F.col("a.field") == F.col("b.field")), "left_anti").where(F.col("next_file").isNotNull()).select("feed_id", F.col("next_file").alias("file_no"), F.col("field").alias("field_before"), F.col("part").alias("part_before"))
-    both = came.join(went, FILE)  # fields of one file against fields of the file before: a few by a few
-    by_part = both.where(F.col("part_before") == F.col("part_after")).select(*FILE, "field_before", "field_after", F.lit(2.0).alias("share"), F.lit(1).alias("m"))
-    other = both.where(F.col("part_before").isNull() & F.col("part_after").isNull())
-    # the records of the files concerned are read once more, for the fields compared and those that name a row
-    sides = other.select("feed_id", F.col("prev_file").alias("file_no"), F.col("field_before").alias("field")).unionByName(other.select(*FILE, F.col("field_after").alias("field"))).distinct()
-    named = k.where(F.col("part").isin("symbol", "period")).join(sides.select(*FILE).distinct(), FILE, "left_semi").select(*FILE, "field")
-    wanted = c.where(F.col("kind").isNotNull()).select(*FILE, "row_no", "field", "canonical").join(sides.unionByName(named).distinct(), [*FILE, "field"], "left_semi").checkpoint()
-    keys = _row_keys(wanted, k)
-    values = wanted.join(keys, [*FILE, "row_no"]).drop("row_no")
-    before = values.select("feed_id", F.col("file_no").alias("prev_file"), F.col("field").alias("field_before"), "key", F.col("canonical").alias("was"))
-    after = values.select("feed_id", "file_no", F.col("field").alias("field_after"), "key", F.col("canonical").alias("is"))
+    """(feed_id, file_no, field_before, field_after): best mutual matches of going and coming fields.
+
+    Candidates are the pairs with an equal value in a row that both files carry; how many rows
+    two fields share is counted for candidates only.
+    """
+    by_field = Window.partitionBy("feed_id", "field").orderBy("file_no")
+    k = k.withColumn("came", F.col("prev_file").isNotNull() & ~F.lag("file_no").over(by_field).eqNullSafe(F.col("prev_file"))).withColumn(
+        "goes", F.col("next_file").isNotNull() & ~F.lead("file_no").over(by_field).eqNullSafe(F.col("next_file")))
+    moved = k.where("came OR goes").select(*FILE, "next_file", "field", "part", "came", "goes")
+    came = moved.where("came").select(*FILE, F.col("field").alias("field_after"), F.col("part").alias("part_after"))
+    went = moved.where("goes").select("feed_id", F.col("next_file").alias("file_no"), F.col("field").alias("field_before"), F.col("part").alias("part_before"))
+    by_part = came.where("part_after IS NOT NULL").join(went.withColumn("part_after", F.col("part_before")), [*FILE, "part_after"]).select(*FILE, "field_before", "field_after", F.lit(2.0).alias("share"), F.lit(1).alias("m"))
+    # values of the moved fields, and those that name a row, where a file has both going and coming fields without a part
+    both = came.where("part_after IS NULL").select(*FILE).distinct().join(went.where("part_before IS NULL").select(*FILE).distinct(), FILE)
+    pairs = both.join(k.select(*FILE, "prev_file").distinct(), FILE)
+    concerned = pairs.select(*FILE).unionByName(pairs.select("feed_id", F.col("prev_file").alias("file_no"))).distinct()
+    wanted = k.join(concerned, FILE, "left_semi").where(F.col("part").isin("symbol", "period") | (F.col("part").isNull() & (F.col("came") | F.col("goes")))).select(*FILE, "next_file", "field", "part", "came", "goes")
+    values = written(c.where(F.col("kind").isNotNull()).select(*FILE, "row_no", "field", "canonical").join(wanted, [*FILE, "field"]), "moved")
+    keyed = values.where("part IS NULL").join(_row_keys(values.select(*FILE, "row_no", "field", "canonical"), k), [*FILE, "row_no"])
+    before = keyed.where("goes").select("feed_id", F.col("next_file").alias("file_no"), "key", F.col("field").alias("field_before"), "canonical")
+    after = keyed.where("came").select(*FILE, "key", F.col("field").alias("field_after"), "canonical")
+    equal = before.join(after, [*FILE, "key", "canonical"]).groupBy(*FILE, "field_before", "field_after").agg(F.count(F.lit(1)).alias("m"))
+    shared = before.drop("canonical").join(equal, [*FILE, "field_before"]).join(after.drop("canonical"), [*FILE, "field_after", "key"])
     by_value = (
-        other.join(before, ["feed_id", "prev_file", "field_before"])
-        .join(after, ["feed_id", "file_no", "field_after", "key"])
-        .groupBy(*FILE, "field_before", "field_after")
-        .agg(F.count_if(F.col("was") == F.col("is")).alias("m"), F.count(F.lit(1)).alias("n"))
-        .where((F.col("m") > 0) & (F.col("m") >= F.col("n") * AGREE))
+        shared.groupBy(*FILE, "field_before", "field_after")
+        .agg(F.first("m").alias("m"), F.count(F.lit(1)).alias("n"))
+        .where(F.col("m") >= F.col("n") * AGREE)
         .select(*FILE, "field_before", "field_after", (F.col("m") / F.col("n")).alias("share"), F.col("m").cast("int").alias("m"))
     )
     found = by_part.unionByName(by_value)
@@ -187,40 +197,52 @@ def changes(k: DataFrame, renamed: DataFrame) -> DataFrame:
     return added.unionByName(removed).unionByName(named).unionByName(retyped)
 
 
-def infer(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(cells, kinds by file, renames) of the files."""
-    checkpoint_dir(files.sparkSession)
-    c = cells(files)
-    k = kinds_by_file(paths(c)).checkpoint()
-    return c, k, renames(c, k).checkpoint()
+#: Columns of a cell that finding changes takes.
+_FOR_CHANGES = ["kind", "canonical", "period", "instant", "ticker"]
+
+
+def infer(files: DataFrame, more: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cells, kinds by file, renames) of the files; ``more`` names columns of cells that the caller needs."""
+    names = dict.fromkeys([*_FOR_CHANGES, *more])
+    c = written(cells(files).select(*FILE, "row_no", "table_name", "field", *names), "cells")
+    k = written(kinds_by_file(paths(c)), "kinds")
+    return c, k, written(renames(c, k), "renames")
 
 
 def lineage(k: DataFrame, renamed: DataFrame) -> DataFrame:
     """(feed_id, file_no, field, origin): the name under which each field's content first appeared.
 
-    Links to the file before are followed by pointer doubling, so a chain over n files takes
-    log2(n) joins whatever the number of renames.
+    A stretch of files that carry a field without a break, and not under a new name, is one node;
+    only renames link nodes. Pointers are doubled over the nodes, each round written, so a chain
+    of n renames takes log2(n) rounds.
     """
-    most = k.groupBy("feed_id").agg(F.countDistinct("file_no").alias("n")).agg(F.max("n")).first()[0] or 1
-    here = k.select(*FILE, "prev_file", "field")
-    was = renamed.select(*FILE, F.col("field_after").alias("field"), F.col("field_before").alias("was"))
-    prior = k.select("feed_id", F.col("file_no").alias("prev_file"), F.col("field").alias("was"))
-    step = here.join(was, [*FILE, "field"], "left").withColumn("was", F.coalesce("was", "field")).join(prior.withColumn("there", F.lit(True)), ["feed_id", "prev_file", "was"], "left")
-    step = step.select(*FILE, "field", F.when(F.col("there"), F.col("prev_file")).otherwise(F.col("file_no")).alias("to_file"), F.when(F.col("there"), F.col("was")).otherwise(F.col("field")).alias("to_field"))
-    for _ in range(max(0, math.ceil(math.log2(most)))):
-        far = step.select("feed_id", F.col("file_no").alias("to_file"), F.col("field").alias("to_field"), F.col("to_file").alias("f2"), F.col("to_field").alias("n2"))
-        step = step.join(far, ["feed_id", "to_file", "to_field"]).select(*FILE, "field", F.col("f2").alias("to_file"), F.col("n2").alias("to_field"))
-    return step.select(*FILE, "field", F.col("to_field").alias("origin"))
+    by_field = Window.partitionBy("feed_id", "field").orderBy("file_no")
+    new = renamed.select(*FILE, F.col("field_after").alias("field"), F.col("field_before").alias("was"))
+    here = k.select(*FILE, "prev_file", "field").join(new, [*FILE, "field"], "left")
+    begins = F.col("was").isNotNull() | F.col("prev_file").isNull() | ~F.lag("file_no").over(by_field).eqNullSafe(F.col("prev_file"))
+    here = here.withColumn("since", F.last(F.when(begins, F.col("file_no")), ignorenulls=True).over(by_field.rowsBetween(Window.unboundedPreceding, 0)))
+    here = written(here, "stretches")
+    ends = here.select("feed_id", F.col("file_no").alias("prev_file"), F.col("field").alias("was"), F.col("since").alias("to_since"))
+    nodes = here.where("since = file_no").join(ends, ["feed_id", "prev_file", "was"], "left")
+    links = nodes.select("feed_id", "since", "field", F.coalesce("to_since", "since").alias("to_since"), F.when(F.col("to_since").isNotNull(), F.col("was")).otherwise(F.col("field")).alias("to_field"))
+    while True:
+        links = written(links, "links")
+        far = links.select("feed_id", F.col("since").alias("to_since"), F.col("field").alias("to_field"), F.col("to_since").alias("s2"), F.col("to_field").alias("f2"))
+        on = links.join(far, ["feed_id", "to_since", "to_field"])
+        if on.where("s2 <> to_since OR f2 <> to_field").isEmpty():
+            break
+        links = on.select("feed_id", "since", "field", F.col("s2").alias("to_since"), F.col("f2").alias("to_field"))
+    return here.join(links, ["feed_id", "since", "field"]).select(*FILE, "field", F.col("to_field").alias("origin"))
 
 
 def consistent_rows(files: DataFrame) -> DataFrame:
-    """One row per valid record: symbol, financial_period, loaded_at, and typed branches by original name.
+    """One row per valid record: symbol, financial_period, ingested_at, and typed branches by original name.
 
     ``figures`` holds what converts to a number, ``texts`` what doesn't; a plain value is in one of them.
     ``nested`` holds the whole JSON of every list and object; one that doesn't stand for one plain value
     is there only. ``truths`` holds booleans, which are figures (1 and 0) too.
     """
-    c, k, renamed = infer(files)
+    c, k, renamed = infer(files, ("single", "figure", "plain", "nested"))
     origin = lineage(k, renamed).join(k.select(*FILE, "field", "part"), [*FILE, "field"])
     v = c.where(F.col("kind").isNotNull()).join(origin, [*FILE, "field"])
     own = F.col("part").isNull()
@@ -234,7 +256,7 @@ def consistent_rows(files: DataFrame) -> DataFrame:
         .agg(
             F.max(F.when(F.col("part") == "symbol", F.col("canonical"))).alias("symbol"),
             F.max(F.when(F.col("part") == "period", F.col("canonical"))).alias("financial_period"),
-            F.timestamp_micros(F.max(F.when(F.col("part") == "time", F.col("instant")))).alias("loaded_at"),
+            F.timestamp_micros(F.max(F.when(F.col("part") == "time", F.col("instant")))).alias("ingested_at"),
             F.map_from_entries(F.array_sort(F.collect_list(F.when(own & F.col("figure").isNotNull(), pair("figure"))))).alias("figures"),
             F.map_from_entries(F.array_sort(F.collect_list(F.when(own & F.col("figure").isNull() & F.col("plain").isNotNull(), pair("plain"))))).alias("texts"),
             F.map_from_entries(F.array_sort(F.collect_list(F.when(own & F.col("truth").isNotNull(), pair("truth"))))).alias("truths"),
