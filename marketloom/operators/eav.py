@@ -1,64 +1,93 @@
 """Entity–attribute–value rows to wide rows with typed columns.
 
-Cells are parsed and keyed on the JVM side; ``combineByKey`` then merges them into one slot
-register per entity. Its mergers are associative and commutative (the greatest version of a
-cell wins), so duplicates are resolved on the map side and a re-delivered hot cell never
-travels. A typed encoder emits a full row, or one row per filled slot.
+Cells are parsed and keyed on the JVM side. Each Arrow batch is turned into slot registers, one
+per entity it holds, by sorting and keeping the greatest version of a cell; ``combineByKey`` then
+merges registers, first on the map side, so that a re-delivered hot cell never travels, then
+across the shuffle. Its merger is associative and commutative (the greatest version of a cell
+wins). A typed encoder emits a full row, or one row per filled slot.
 
 Defined results: rows of no period, with a blank symbol, or with an unreadable number are
 ignored and erase nothing; entities without a readable cell don't come out; equal versions of
 a cell resolve to the greater number; an empty table gives an empty one.
+
+Scale: what is pickled is one row per entity and batch, not one per cell; reducers grow with the
+number of input partitions. A hot entity has no more than one register per map task to shuffle,
+as many cells as there are attributes.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.functions.fundamentals import hundredths, metric_name, metric_of, norm_label, period_of, squeeze
 
-#: Slots of an entity that hold something: {slot number: (version..., value)}.
-Register = dict[int, tuple]
-
-
-def _open(cell: tuple) -> Register:
-    return {cell[0]: cell[1]}
-
-
-def _put(register: Register, cell: tuple) -> Register:
-    slot, version = cell
-    held = register.get(slot)
-    if held is None or held < version:
-        register[slot] = version
-    return register
+#: Slots of an entity that hold something: {slot: (version..., value)}.
+Register = dict[str, tuple]
 
 
 def _merge(a: Register, b: Register) -> Register:
     if len(a) < len(b):
         a, b = b, a
-    for cell in b.items():
-        _put(a, cell)
+    for slot, version in b.items():
+        held = a.get(slot)
+        if held is None or held < version:
+            a[slot] = version
     return a
 
 
-def registers(df: DataFrame, entity: list[str], slot: str, order: list[str], value: str, slots: list[str]):
-    """RDD of (entity values, register); slots are numbered by their place in ``slots``.
-
-    Rows whose entity, slot or value is null hold no cell. A cell outside ``slots`` fails rather
-    than being dropped silently. The order columns must not be null.
+def _changes(columns: list[pa.Array]) -> np.ndarray:
+    """Whether each row differs from the one before it in any column (nulls equal nulls)."""
+    n = len(columns[0])
+    out = np.zeros(n, bool)
+    out[:1] = True
+    for c in columns:
+        codes = pc.dictionary_encode(c, null_encoding="encode").indices.to_numpy()
+        out[1:] |= codes[1:] != codes[:-1]
+    return out
+
+
+def _batch_registers(entity: list[str], slot: str, version: list[str]):
+    """An Arrow map: the registers of each batch, one row per entity with the lists of its slots and versions."""
+
+    def run(batches):
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t.take(pc.sort_indices(t, sort_keys=[(c, "ascending") for c in (*entity, slot, *version)])).combine_chunks()
+            if not t.num_rows:
+                continue
+            col = lambda c: t.column(c).combine_chunks() if isinstance(t.column(c), pa.ChunkedArray) else t.column(c)
+            of_entity = _changes([col(c) for c in entity])
+            of_cell = of_entity | _changes([col(slot)])
+            last = np.append(of_cell[1:], True)
+            keep = np.flatnonzero(last)  # the greatest version of each cell comes last
+            group = np.cumsum(of_entity)[keep]
+            first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+            ends = pa.array(np.append(first, len(keep)).astype(np.int32))
+            heads = pa.array(keep[first])
+            lists = [pa.ListArray.from_arrays(ends, col(c).take(pa.array(keep))) for c in (slot, *version)]
+            yield pa.RecordBatch.from_arrays([*(col(c).take(heads) for c in entity), *lists], names=[*entity, slot, *version])
+
+    return run
+
+
+def registers(df: DataFrame, entity: list[str], slot: str, order: list[str], value: str, nullable: tuple[str, ...] = ()):
+    """RDD of (entity values, register).
+
+    Rows whose entity (but for the ``nullable`` parts), slot or value is null hold no cell. The
+    order columns must not be null.
     """
-    k, m = len(entity), len(order)
-    number = {s: i for i, s in enumerate(slots)}
-    required = [i for i, c in enumerate(entity) if c != "table_name"]
-
-    def cells(rows):
-        for r in rows:
-            if r[k] is not None and r[-1] is not None and all(r[i] is not None for i in required):
-                yield tuple(r[:k]), (number[r[k]], tuple(r[k + 1 : k + 2 + m]))
-
-    rows = df.select(*entity, slot, *order, value).rdd
-    return rows.mapPartitions(cells).combineByKey(_open, _put, _merge, df.sparkSession.sparkContext.defaultParallelism * 2)
+    k, version = len(entity), [*order, value]
+    cells = df.select(*entity, slot, *version).dropna(subset=[c for c in (*entity, slot, value) if c not in nullable])
+    schema = T.StructType([*(cells.schema[c] for c in entity), *(T.StructField(c, T.ArrayType(cells.schema[c].dataType)) for c in (slot, *version))])
+    rows = cells.mapInArrow(_batch_registers(entity, slot, version), schema).rdd
+    keyed = rows.map(lambda r: (tuple(r[:k]), dict(zip(r[k], zip(*r[k + 1 :])))))
+    reducers = max(2 * df.sparkSession.sparkContext.defaultParallelism, rows.getNumPartitions())
+    return keyed.combineByKey(lambda register: register, _merge, _merge, reducers)
 
 
 def fundamentals_cells(facts: DataFrame) -> DataFrame:
@@ -75,35 +104,41 @@ def fundamentals_cells(facts: DataFrame) -> DataFrame:
     return staged.select("table_name", "symbol", period_of(F.col("_period")).alias("financial_period"), metric_of(F.col("_label")).alias("metric"), "_at", "_seq", hundredths(F.col("metric_text")).alias("hundredths"))
 
 
-def slot_names(facts: DataFrame, most: int = 2000) -> list[str]:
-    """The metrics that the labels of the facts name, sorted: the slots of a register. More than ``most`` raises."""
-    found = [r[0] for r in facts.select("metric_label").distinct().select(metric_name(F.col("metric_label")).alias("m")).where(F.col("m").isNotNull()).distinct().limit(most + 1).collect()]
-    if len(found) > most:
-        raise ValueError(f"more than {most} metrics: not attributes of one wide table")
-    return sorted(found)
+ENTITY = ["table_name", "symbol", "financial_period"]
 
 
-ENTITY = ["table_name", "symbol", "financial_period"]
+def _fundamentals(facts: DataFrame):
+    return registers(fundamentals_cells(facts), ENTITY, "metric", ["_at", "_seq"], "hundredths", nullable=("table_name",))
 
 
 def filled_cells(facts: DataFrame) -> DataFrame:
-    """One row per filled cell of the wide table, out of the slot registers."""
-    slots = slot_names(facts)
+    """One row per filled cell of the wide table, out of the slot registers; any number of metrics."""
     schema = T.StructType([*(T.StructField(c, T.StringType()) for c in (*ENTITY, "metric")), T.StructField("hundredths", T.LongType())])
-    rdd = registers(fundamentals_cells(facts), ENTITY, "metric", ["_at", "_seq"], "hundredths", slots)
-    return facts.sparkSession.createDataFrame(rdd.flatMap(lambda kv: [(*kv[0], slots[s], v[-1]) for s, v in kv[1].items()]), schema, verifySchema=False)
+    rows = _fundamentals(facts).flatMap(lambda kv: [(*kv[0], slot, v[-1]) for slot, v in kv[1].items()])
+    return facts.sparkSession.createDataFrame(rows, schema, verifySchema=False)
+
+
+def slot_names(facts: DataFrame, most: int = 20_000) -> list[str]:
+    """The metrics that the labels of the facts name, sorted: the columns of the wide table.
+
+    More than ``most`` raises, as no table of so many columns can be planned.
+    """
+    found = [r[0] for r in facts.select("metric_label").distinct().select(metric_name(F.col("metric_label")).alias("m")).where(F.col("m").isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} metrics: not attributes of one wide table")
+    return sorted(found)
 
 
 def wide(facts: DataFrame) -> DataFrame:
     """One row per table_name, symbol and financial_period, a double column for each metric that is labelled."""
     slots = slot_names(facts)
+    number = {s: i for i, s in enumerate(slots)}
 
     def encode(kv):
         row = [None] * len(slots)
         for s, v in kv[1].items():
-            row[s] = v[-1] / 100.0
+            row[number[s]] = v[-1] / 100.0
         return (*kv[0], *row)
 
     schema = T.StructType([*(T.StructField(c, T.StringType()) for c in ENTITY), *(T.StructField(m, T.DoubleType()) for m in slots)])
-    rdd = registers(fundamentals_cells(facts), ENTITY, "metric", ["_at", "_seq"], "hundredths", slots)
-    return facts.sparkSession.createDataFrame(rdd.map(encode), schema, verifySchema=False)
+    return facts.sparkSession.createDataFrame(_fundamentals(facts).map(encode), schema, verifySchema=False)

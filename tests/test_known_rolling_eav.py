@@ -2,6 +2,7 @@ import datetime as dt
 import random
 from collections import defaultdict
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,16 +155,23 @@ def test_cells_and_wide_rows(spark):
 
 def test_registers_merge_in_any_order():
     r = random.Random(5)
-    cells = [(r.choice("xyz"), (r.randrange(3), r.randrange(3), r.randrange(9))) for _ in range(60)]
+    cells = [(r.choice("xyz"), r.choice(["p", None]), r.choice("mno"), r.randrange(3), r.randrange(3), r.randrange(9)) for _ in range(300)]
     want = {}
-    for k, v in cells:
-        want[k] = max(want.get(k, v), v)
+    for s, p, slot, *v in cells:
+        reg = want.setdefault((s, p), {})
+        reg[slot] = max(reg.get(slot, tuple(v)), tuple(v))
+    names = ["s", "p", "slot", "at", "seq", "v"]
+    first = eav._batch_registers(["s", "p"], "slot", ["at", "seq", "v"])
     for _ in range(20):
         r.shuffle(cells)
-        cut = r.randrange(1, 59)
-        a, b = eav._open(cells[0]), eav._open(cells[cut])
-        for c in cells[1:cut]:
-            eav._put(a, c)
-        for c in cells[cut + 1 :]:
-            eav._put(b, c)
-        assert eav._merge(a, b) == want
+        got, at = {}, 0
+        while at < len(cells):
+            n = r.randrange(1, 120)
+            batch = pa.RecordBatch.from_pylist([dict(zip(names, c)) for c in cells[at : at + n]], schema=pa.schema([("s", pa.string()), ("p", pa.string()), ("slot", pa.string()), *((c, pa.int64()) for c in names[3:])]))
+            for out in first([batch]):
+                for x in out.to_pylist():
+                    reg = dict(zip(x["slot"], zip(x["at"], x["seq"], x["v"])))
+                    assert len(reg) == len(x["slot"])
+                    got[x["s"], x["p"]] = eav._merge(got[x["s"], x["p"]], reg) if (x["s"], x["p"]) in got else reg
+            at += n
+        assert got == want
