@@ -17,20 +17,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.session import checkpoint_dir
+from marketloom.session import written
 
-# Letters (and Roman numerals) of other scripts by the Latin letter they look like.
+# Letters (and Roman numerals) of Greek, Cyrillic, Armenian, Cherokee, Lisu and Coptic by the Latin
+# letter whose shape they have. Letters whose shape only resembles a Latin one (α γ ι κ υ, к, г, small capitals), other
+# letters of the Latin script (ɑ ɡ ᴏ) and styled alphabets (bold, italic, script) can be told apart and stay as they are.
 LOOK_ALIKES = {
-    "A": "ΑАᎪ", "B": "ΒВᏴ", "C": "СϹᏟⅭ", "D": "ᎠⅮ", "E": "ΕЕᎬ", "F": "Ϝ", "G": "ԌᏀ", "H": "ΗНᎻ", "I": "ΙІӀⅠ",
-    "J": "ЈᎫͿ", "K": "ΚКᏦ", "L": "ᏞⅬ", "M": "ΜМᎷϺⅯ", "N": "Ν", "O": "ΟОՕ", "P": "ΡРᏢ", "Q": "Ԛ", "R": "ᎡᏒ",
-    "S": "ЅՏᏚ", "T": "ΤТᎢ", "U": "Ս", "V": "ѴᏙⅤ", "W": "ԜᎳᏔ", "X": "ΧХⅩ", "Y": "ΥҮ", "Z": "ΖᏃ",
-    "a": "а", "c": "сϲⅽ", "d": "ԁⅾ", "e": "е", "h": "һ", "i": "іⅰ", "j": "јϳ", "l": "ӏⅼ", "m": "ⅿ", "n": "ո",
-    "o": "οоօ", "p": "рρ", "q": "ԛ", "s": "ѕ", "u": "ս", "v": "ѵνⅴ", "w": "ԝ", "x": "хⅹ", "y": "уү",
+    "A": "ΑАᎪꓮ", "B": "ΒВᏴꓐⲂ", "C": "СϹᏟⅭꓚⲤ", "D": "ᎠⅮꓓ", "E": "ΕЕᎬꓰ", "F": "Ϝꓝ", "G": "ԌᏀꓖ", "H": "ΗНᎻꓧⲎ", "I": "ΙІӀⅠꓲⲒ",
+    "J": "ЈᎫͿꓙ", "K": "ΚКᏦꓗⲔ", "L": "ᏞⅬꓡ", "M": "ΜМᎷϺⅯꓟⲘ", "N": "ΝꓠⲚ", "O": "ΟОՕꓳⲞ", "P": "ΡРᏢꓑⲢ", "Q": "Ԛ", "R": "ᎡᏒꓣ",
+    "S": "ЅՏᏚꓢ", "T": "ΤТᎢꓔⲦ", "U": "Սꓴ", "V": "ѴᏙⅤꓦ", "W": "ԜᎳᏔꓪ", "X": "ΧХⅩꓫⲬ", "Y": "ΥҮꓬⲨ", "Z": "ΖᏃꓜ",
+    "a": "а", "c": "сϲⅽⲥ", "d": "ԁⅾ", "e": "е", "h": "һ", "i": "іⅰ", "j": "јϳ", "l": "ӏⅼ", "m": "ⅿ", "n": "ո",
+    "o": "οоօⲟ", "p": "рρⲣ", "q": "ԛ", "s": "ѕ", "u": "ս", "v": "ѵνⅴ", "w": "ԝ", "x": "хⅹ", "y": "уү",
     "-": "‐‑",
 }
 # Ranges of characters that show nothing, and the kinds of space.
 INVISIBLE = r"[\x{00}-\x{08}\x{0E}-\x{1F}\x{7F}-\x{84}\x{86}-\x{9F}\x{AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{3164}\x{FE00}-\x{FE0F}\x{FEFF}\x{FFA0}\x{FFF9}-\x{FFFB}\x{E0000}-\x{E0FFF}]"
-SPACES = "               　"
+SPACES = "               　⠀"
 
 
 def _compatible() -> dict[str, str]:
@@ -97,7 +99,7 @@ def _duck(df: DataFrame, columns: str, schema: str, where: str = "") -> DataFram
         for b in batches:
             for lo in range(0, b.num_rows, 2000):
                 con.register("batch", pa.Table.from_batches([b.slice(lo, 2000)]).rename_columns(["key", "text"]))
-                yield from con.execute(statement).to_arrow_table().to_batches()
+                yield from con.sql(statement).to_arrow_table().to_batches()
                 con.unregister("batch")
 
     assert len(names) == 2
@@ -110,6 +112,9 @@ def consistent(df: DataFrame, key: str, text: str) -> DataFrame:
     return _duck(df.select(key, text), f'key AS "{key}", form', f"`{key}` {kind}, form string")
 
 
+_VISIBLE = "WHERE trim(form, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(133)) <> ''"
+
+
 def look_alike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     """(<key>_a, <key>_b), a < b: all pairs whose texts differ but show the same signs.
 
@@ -118,17 +123,37 @@ def look_alike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     each other.
     """
     kind = df.schema[key].dataType.simpleString()
-    digests = _duck(df.select(key, text), "key AS id, md5(form) AS form, md5(text) AS spelling", f"id {kind}, form string, spelling string", "WHERE trim(form, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(133)) <> ''")
-    checkpoint_dir(df.sparkSession)
-    return pairs_of(digests.checkpoint(), key)  # read by several branches, and costly to make
+    digests = _duck(df.select(key, text), "key AS id, md5(form) AS form, md5(text) AS spelling", f"id {kind}, form string, spelling string", _VISIBLE)
+    return pairs_of(written(digests, "digests"), key)  # read by several branches, and costly to make
+
 
+#: Parts into which the documents of one spelling are spread where they meet other spellings.
+SALTS = 8
 
-def pairs_of(digests: DataFrame, key: str) -> DataFrame:
+
+def pairs_of(digests: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
+    """All pairs (<key>_a, <key>_b) of the rows (id, form, spelling) with equal forms and unequal spellings."""
     several = digests.groupBy("form").agg(F.min("spelling").alias("lo"), F.max("spelling").alias("hi")).where("lo <> hi").select("form")
     docs = digests.join(several, "form", "left_semi")
     spellings = docs.select("form", "spelling").distinct()
     links = spellings.alias("a").join(spellings.alias("b"), F.expr("a.form = b.form AND a.spelling < b.spelling")).select(F.col("a.spelling").alias("sa"), F.col("b.spelling").alias("sb"))
-    left = docs.select(F.col("spelling").alias("sa"), F.col("id").alias("ia"))
-    right = docs.select(F.col("spelling").alias("sb"), F.col("id").alias("ib"))
-    met = left.join(links, "sa").join(right, "sb")
+    part = F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    left = docs.select(F.col("spelling").alias("sa"), F.col("id").alias("ia"), part.alias("pa"))
+    right = docs.select(F.col("spelling").alias("sb"), F.col("id").alias("ib"), part.alias("pb"))
+    met = left.join(links.withColumn("pa", every), ["sa", "pa"]).withColumn("pb", every).join(right, ["sb", "pb"])
     return met.select(F.least("ia", "ib").alias(f"{key}_a"), F.greatest("ia", "ib").alias(f"{key}_b"))
+
+
+def classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(<key>, <key>_of_form, <key>_of_text): the least key that shows the same signs, and the least with the same text.
+
+    One row per row with visible signs, so copies are named once and never paired; rows are of one
+    look but unequal texts if only the last column differs.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    digests = written(_duck(df.select(key, text), "key AS id, md5(form) AS form, md5(text) AS spelling", f"id {kind}, form string, spelling string", _VISIBLE), "digests")
+    of_text = digests.groupBy("form", "spelling").agg(F.min("id").alias("of_text"))
+    of_form = of_text.groupBy("form").agg(F.min("of_text").alias("of_form"))
+    named = digests.join(of_text, ["form", "spelling"]).join(of_form, "form")
+    return named.select(F.col("id").alias(key), F.col("of_form").alias(f"{key}_of_form"), F.col("of_text").alias(f"{key}_of_text"))

@@ -195,3 +195,21 @@ def test_pairs(spark):
     df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, form string")
     assert sorted(tuple(r) for r in visual.look_alike_pairs(df, "doc_id", "text").collect()) == [(1, 2), (2, 3), (8, 9)]
     assert visual.look_alike_pairs(df.limit(0), "doc_id", "text").collect() == []
+
+
+def test_pairs_and_classes_of_hot_spellings(spark):
+    rows = [(i, "f", "s" if i % 3 else "t") for i in range(90)] + [(200, "g", "u"), (201, "g", "u"), (300, "h", "v")]
+    df = spark.createDataFrame(rows, "id long, form string, spelling string")
+    got = sorted(tuple(r) for r in visual.pairs_of(df, "doc_id", salts=3).collect())
+    assert got == sorted((a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and a[2] != b[2])
+    docs = spark.createDataFrame([(3, "ab"), (1, "аb"), (2, "ab"), (4, None), (5, " "), (6, "x"), (7, "")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in visual.classes(docs, "doc_id", "text").collect()) == [(1, 1, 1), (2, 1, 2), (3, 1, 2), (6, 6, 6)]
+    assert visual.classes(docs.limit(0), "doc_id", "text").collect() == []
+
+
+def test_letters_of_the_same_shape_and_those_that_only_resemble(spark):
+    same = [("ꓮꓐꓚ", "ABC"), ("ⲞⲢ", "OP"), ("a⠀b", "a b")]
+    apart = [("ɑɡᴏ", "ago"), ("𝐚𝑏", "ab"), ("αγικυ", "ayiku"), ("кг", "kr"), ("²", "2")]
+    df = spark.createDataFrame([(2 * i + j, t) for i, p in enumerate(same + apart) for j, t in enumerate(p)], "doc_id long, text string")
+    form = {r["doc_id"]: r["form"] for r in visual.consistent(df, "doc_id", "text").collect()}
+    assert [form[2 * i] == form[2 * i + 1] for i in range(len(same + apart))] == [True] * len(same) + [False] * len(apart)
