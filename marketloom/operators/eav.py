@@ -17,6 +17,8 @@ as many cells as there are attributes.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.functions.fundamentals import hundredths, metric_name, metric_of, norm_label, period_of, squeeze
+from marketloom.session import written
 
 #: Slots of an entity that hold something: {slot: (version..., value)}.
 Register = dict[str, tuple]
@@ -51,12 +54,18 @@ def _changes(columns: list[pa.Array]) -> np.ndarray:
     return out
 
 
-def _batch_registers(entity: list[str], slot: str, version: list[str]):
-    """An Arrow map: the registers of each batch, one row per entity with the lists of its slots and versions."""
+def _batch_registers(entity: list[str], slot: str, version: list[str], nullable: tuple[str, ...] = ()):
+    """An Arrow map: the registers of each batch, one row per entity with its packed register.
+
+    Rows without a cell are left out here, as a filter before would compute every cell twice.
+    """
+    required = [c for c in (*entity, slot, version[-1]) if c not in nullable]
 
     def run(batches):
         for b in batches:
             t = pa.Table.from_batches([b])
+            for c in required:
+                t = t.filter(pc.is_valid(t.column(c)))
             t = t.take(pc.sort_indices(t, sort_keys=[(c, "ascending") for c in (*entity, slot, *version)])).combine_chunks()
             if not t.num_rows:
                 continue
@@ -67,10 +76,11 @@ def _batch_registers(entity: list[str], slot: str, version: list[str]):
             keep = np.flatnonzero(last)  # the greatest version of each cell comes last
             group = np.cumsum(of_entity)[keep]
             first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-            ends = pa.array(np.append(first, len(keep)).astype(np.int32))
             heads = pa.array(keep[first])
-            lists = [pa.ListArray.from_arrays(ends, col(c).take(pa.array(keep))) for c in (slot, *version)]
-            yield pa.RecordBatch.from_arrays([*(col(c).take(heads) for c in entity), *lists], names=[*entity, slot, *version])
+            slots, *versions = (col(c).take(pa.array(keep)).to_pylist() for c in (slot, *version))
+            cells = list(zip(slots, zip(*versions)))
+            packed = [pickle.dumps(dict(cells[a:z]), protocol=5) for a, z in zip(first, np.append(first[1:], len(keep)))]
+            yield pa.RecordBatch.from_arrays([*(col(c).take(heads) for c in entity), pa.array(packed, pa.binary())], names=[*entity, "register"])
 
     return run
 
@@ -82,10 +92,11 @@ def registers(df: DataFrame, entity: list[str], slot: str, order: list[str], val
     order columns must not be null.
     """
     k, version = len(entity), [*order, value]
-    cells = df.select(*entity, slot, *version).dropna(subset=[c for c in (*entity, slot, value) if c not in nullable])
-    schema = T.StructType([*(cells.schema[c] for c in entity), *(T.StructField(c, T.ArrayType(cells.schema[c].dataType)) for c in (slot, *version))])
-    rows = cells.mapInArrow(_batch_registers(entity, slot, version), schema).rdd
-    keyed = rows.map(lambda r: (tuple(r[:k]), dict(zip(r[k], zip(*r[k + 1 :])))))
+    cells = df.select(*entity, slot, *version)
+    schema = T.StructType([*(cells.schema[c] for c in entity), T.StructField("register", T.BinaryType())])
+    # written, as executors that are lost would else parse again
+    rows = written(cells.mapInArrow(_batch_registers(entity, slot, version, nullable), schema), "registers").rdd
+    keyed = rows.map(lambda r: (tuple(r[:k]), pickle.loads(r[k])))
     reducers = max(2 * df.sparkSession.sparkContext.defaultParallelism, rows.getNumPartitions())
     return keyed.combineByKey(lambda register: register, _merge, _merge, reducers)
 

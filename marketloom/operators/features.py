@@ -1,4 +1,4 @@
-"""The feature frame of every source in one plan: window columns on the JVM side, recursions in pandas."""
+"""The feature frame of every source in one plan: session columns on the JVM side, trailing windows and recursions chunk by chunk."""
 
 from __future__ import annotations
 
@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.market import finite
-from marketloom.operators import series
+from marketloom.operators import chunks, series
+from marketloom.session import written
 
 CONTEXT, HORIZON, ORIGINS = 512, 24, 30
+# The names of the feature columns and of the gap model's inputs.
 #: Columns whose missing values are 0; the others stay null.
 MODEL_COLUMNS = ["log_return", "log_volume_norm", "rsi_14d", "macd_hist", "ret_5d", "vol_5d", "hours_since_prev", "nifty_log_return"]
 GAP_OWN = ["prev_day_return", "ret_5d", "ret_20d", "vol_5d", "vol_20d", "volume_change", "last_gap", "is_weekend_gap"]
@@ -23,47 +25,39 @@ def build(bars: DataFrame, nifty: DataFrame | None = None, source: list[str] = s
     ``nifty`` is (source..., ts, nifty_log_return), as joined as-of beforehand; without it the
     column is 0. The first bar stays, with a return of 0.
     """
-    w = series.in_time(source)
     marked = series.session_gaps(series.session_masks(bars, source), source)
     sized = marked.join(series.bars_per_day(bars, source), source).withColumn("rsi_length", F.col("bars") * 14)
-    ewm = series.ewm_columns(sized, source)
     if nifty is not None:
         sized = sized.join(nifty, [*source, "ts"], "left")
     else:
         sized = sized.withColumn("nifty_log_return", F.lit(0.0))
-    full = sized.join(ewm, [*source, "ts"])
-
-    def windows(rows: DataFrame, k: int) -> DataFrame:
-        z = max(20 * k, 35)
-        lv = F.log1p("volume")
-        x = rows.withColumn("log_return", series.log_return(F.col("close"), w)).withColumn("_dv", lv - F.lag(lv).over(w))
-        r = F.col("log_return")
-        return x.select(
-            *source,
-            "ts",
-            (F.row_number().over(w) - 1).alias("i"),
-            F.count(F.lit(1)).over(Window.partitionBy(*source)).alias("n"),
-            "open",
-            "close",
-            F.col("is_open").cast("double").alias("is_session_open"),
-            F.col("is_close").cast("double").alias("is_session_close"),
-            "prev_day_return",
-            series.log_return(F.col("close"), w, 20 * k).alias("ret_20d"),
-            series.full_std(r, w, 20 * k).alias("vol_20d"),
-            series.zscore(F.col("_dv"), w, 20 * k).alias("volume_change"),
-            "last_gap",
-            "is_weekend_gap",
-            "log_return",
-            series.zscore(lv, w, z).alias("log_volume_norm"),
-            series.rsi(F.col("avg_gain"), F.col("avg_loss")).alias("rsi_14d"),
-            series.zscore(F.col("macd_hist"), w, z).alias("macd_hist"),
-            series.log_return(F.col("close"), w, 5 * k).alias("ret_5d"),
-            series.full_std(r, w, 5 * k).alias("vol_5d"),
-            F.log1p(F.greatest("hours_since", F.lit(0.0))).alias("hours_since_prev"),
-            "nifty_log_return",
-        )
-
-    out = series.by_width(full, "bars", windows)
+    keep = [*source, "ts", "bars", "rsi_length", "open", "close", "volume", "is_open", "is_close", "prev_day_return", "last_gap", "is_weekend_gap", "hours_since", "nifty_log_return"]
+    means = chunks.exponential_means(chunks.ranked(sized.select(*keep), source), source, settle=written)
+    x = chunks.sized_windows(means, source, zscores=("macd_hist",))
+    out = x.select(
+        *source,
+        "ts",
+        "i",
+        "n",
+        "open",
+        "close",
+        F.col("is_open").cast("double").alias("is_session_open"),
+        F.col("is_close").cast("double").alias("is_session_close"),
+        "prev_day_return",
+        "ret_20d",
+        "vol_20d",
+        "volume_change",
+        "last_gap",
+        "is_weekend_gap",
+        "log_return",
+        "log_volume_norm",
+        series.rsi(F.col("avg_gain"), F.col("avg_loss")).alias("rsi_14d"),
+        "macd_hist",
+        "ret_5d",
+        "vol_5d",
+        F.log1p(F.greatest("hours_since", F.lit(0.0))).alias("hours_since_prev"),
+        "nifty_log_return",
+    )
     fixed = {c: finite(F.col(c)) for c in [*EXTRA, *MODEL_COLUMNS]}
     return out.withColumns(fixed).fillna(0.0, subset=MODEL_COLUMNS)
 

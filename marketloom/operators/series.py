@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -26,37 +22,10 @@ def in_time(source: list[str] = SOURCE, ts: str = "ts") -> WindowSpec:
     return Window.partitionBy(*source).orderBy(ts)
 
 
-def trailing(w: WindowSpec, rows: int) -> WindowSpec:
-    return w.rowsBetween(-(rows - 1), 0)
-
-
 def log_return(price: Column, w: WindowSpec, lag: int = 1) -> Column:
     return F.ln(price) - F.lag(F.ln(price), lag).over(w)
 
 
-def full_std(x: Column, w: WindowSpec, rows: int) -> Column:
-    """Population deviation over whole windows only."""
-    t = trailing(w, rows)
-    return F.when(F.count(x).over(t) >= rows, F.stddev_pop(x).over(t))
-
-
-def zscore(x: Column, w: WindowSpec, rows: int) -> Column:
-    t = trailing(w, rows)
-    std = F.when(F.count(x).over(t) >= rows, F.stddev_pop(x).over(t))
-    return F.try_divide(x - F.avg(x).over(t), F.nullif(std, F.lit(0.0)))
-
-
-def fall_probability(ret: Column, w: WindowSpec, rows: int = 120, least: int = 30) -> Column:
-    """Share of falling bars; a bar without a return counts as not falling."""
-    t = trailing(w, rows)
-    return F.when(F.count(F.lit(1)).over(t) >= least, F.avg(F.coalesce((ret < 0).cast("double"), F.lit(0.0))).over(t))
-
-
-def fall_quantile(ret: Column, w: WindowSpec, rows: int = 120, least: int = 30, q: float = 0.1) -> Column:
-    t = trailing(w, rows)
-    return F.when(F.count(ret).over(t) >= least, F.percentile(ret, q).over(t))
-
-
 def session_masks(bars: DataFrame, source: list[str] = SOURCE) -> DataFrame:
     """bars with day, is_open, is_close and hours_since; the last bar always closes a session."""
     w = in_time(source)
@@ -99,48 +68,6 @@ def bars_per_day(bars: DataFrame, source: list[str] = SOURCE) -> DataFrame:
     return per_day.groupBy(*source).agg(F.greatest(F.lit(1), F.bround(F.median("_n"))).cast("int").alias("bars"))
 
 
-def by_width(df: DataFrame, width: str, build: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
-    """build(rows, k) for each of the few distinct values k of an integer column, united.
-
-    Frames must be literals, so sources are grouped by the width they need; the number of
-    distinct widths is that of bars in a day, not of sources.
-    """
-    widths = sorted(r[0] for r in df.select(width).distinct().limit(1441).collect() if r[0] is not None)
-    if len(widths) > 1440:
-        raise ValueError("more widths than minutes in a day")
-    parts = [build(df.where(F.col(width) == k), k) for k in widths]
-    if not parts:
-        return build(df.where(F.lit(False)), 1)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def ewm_columns(bars: DataFrame, source: list[str] = SOURCE, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
-    """(source..., ts, avg_gain, avg_loss, macd_hist) of bars with a column rsi_length.
-
-    The recursion needs a source's bars in order; sources are independent.
-    """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = pdf.sort_values("ts")
-        close = p["close"].astype(float)
-        n = int(p["rsi_length"].iloc[0])
-        move = close.diff()
-        mean = lambda s: s.ewm(alpha=1.0 / n, min_periods=n, adjust=False).mean()
-        log = np.log(close)
-        span = lambda s, k: s.ewm(span=k, adjust=False).mean()
-        macd = span(log, fast) - span(log, slow)
-        out = p[[*source, "ts"]].copy()
-        out["avg_gain"], out["avg_loss"], out["macd_hist"] = mean(move.clip(lower=0.0)), mean(-move.clip(upper=0.0)), macd - span(macd, signal)
-        return out
-
-    kinds = ", ".join(f"`{c}` {bars.schema[c].dataType.simpleString()}" for c in source)
-    got = bars.select(*source, "ts", "close", "rsi_length").groupBy(*source).applyInPandas(run, f"{kinds}, ts timestamp, avg_gain double, avg_loss double, macd_hist double")
-    return got.select(*source, "ts", *(finite(F.col(c)).alias(c) for c in ("avg_gain", "avg_loss", "macd_hist")))
-
-
 def rsi(avg_gain: Column, avg_loss: Column) -> Column:
     """Relative strength scaled to -1..1; null where there were no losses."""
     rs = F.try_divide(avg_gain, F.nullif(avg_loss, F.lit(0.0)))

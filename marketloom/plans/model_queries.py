@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketloom.operators import calendar, features, forecast, gap_model, series
+from marketloom.operators import calendar, chunks, features, forecast, gap_model, series
 from marketloom.plans.registry import query
 from marketloom.plans.series_queries import BARS, KEY, MASKS, asof_daily, bars
 from marketloom.session import checkpoint_dir, table
@@ -135,9 +135,7 @@ def gap_models(spark, d):
 def hourly_table(spark, d, context: int = features.CONTEXT, forecaster: forecast.Forecaster = forecast.drift):
     """Next-hour forecast and trailing downside at every bar; the gap model speaks at session closes."""
     f = settled_features(spark, d)
-    w = series.in_time()
-    ret = bars(spark, d).withColumn("_r", series.log_return(F.col("close"), w))
-    base = ret.select(*KEY, "open", "close", "volume", series.fall_probability(F.col("_r"), w).alias("fall_probability"), series.fall_quantile(F.col("_r"), w).alias("fall_q10"))
+    base = chunks.downside(chunks.ranked(bars(spark, d), SRC), SRC).select(*KEY, "open", "close", "volume", "fall_probability", "fall_q10")
     step = forecast.sliding(f, forecaster, context).select(*KEY, F.get("returns", F.lit(0)).alias("_f"))
     returns = table(spark, d, "market_returns")
     models = gap_model.fit(gap_model.training_rows(f, returns))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketloom.operators import asof, dedupe, series
+from marketloom.operators import asof, chunks, dedupe, series
 from marketloom.operators.calendar import session_shape
 from marketloom.operators.known_at import as_known, validity_intervals
 from marketloom.plans.registry import query
-from marketloom.session import table
+from marketloom.session import table, written
 
 KEY = ["symbol", "feed_id", "ts"]
 BARS = """bars AS (
@@ -58,8 +58,8 @@ FROM rets WINDOW t AS ({W} ROWS BETWEEN 119 PRECEDING AND CURRENT ROW))"""
 
 @query("win07_08_downside", f"{_DOWN} SELECT * FROM down")
 def downside(spark, d):
-    w = series.in_time()
-    return _returns(spark, d).select(*KEY, r8(series.fall_probability(F.col("r"), w), "fall_probability"), r8(series.fall_quantile(F.col("r"), w), "fall_q10"))
+    got = chunks.downside(chunks.ranked(bars(spark, d).select(*KEY, "close"), series.SOURCE), series.SOURCE)
+    return got.select(*KEY, r8("fall_probability", "fall_probability"), r8("fall_q10", "fall_q10"))
 
 
 @query("win09_latest_downside", f"{_DOWN} SELECT symbol, feed_id, coalesce(arg_max(fall_probability, ts), 0.5) AS fall_probability, coalesce(arg_max(fall_q10, ts), 0.0) AS fall_q10 FROM down WHERE (symbol, feed_id, ts) IN (SELECT (symbol, feed_id, max(ts)) FROM bars GROUP BY symbol, feed_id) GROUP BY ALL")
@@ -116,30 +116,32 @@ FROM k5"""
 
 @query("win02_06_data_sized_windows", _WIDE)
 def sized(spark, d):
-    def build(rows: DataFrame, k: int) -> DataFrame:
-        w = series.in_time()
-        lv = F.log1p("volume")
-        x = rows.withColumn("r", series.log_return(F.col("close"), w)).withColumn("dv", lv - F.lag(lv).over(w))
-        return x.select(
-            *KEY,
-            F.round(series.log_return(F.col("close"), w, 5 * k), 7).alias("ret_5d"),
-            F.round(series.log_return(F.col("close"), w, 20 * k), 7).alias("ret_20d"),
-            F.round(series.full_std(F.col("r"), w, 5 * k), 7).alias("vol_5d"),
-            F.round(series.full_std(F.col("r"), w, 20 * k), 7).alias("vol_20d"),
-            F.round(series.zscore(lv, w, max(20 * k, 35)), 5).alias("log_volume_norm"),
-            F.round(series.zscore(F.col("dv"), w, 20 * k), 5).alias("volume_change"),
-        )
-
     b = bars(spark, d)
-    return series.by_width(b.join(series.bars_per_day(b), series.SOURCE), "bars", build)
-
-
-@query("win10_12_ewm")
+    rows = chunks.ranked(b.join(series.bars_per_day(b), series.SOURCE).select(*KEY, "bars", "close", "volume"), series.SOURCE)
+    x = chunks.sized_windows(rows, series.SOURCE)
+    return x.select(*KEY, *(F.round(c, 7).alias(c) for c in ("ret_5d", "ret_20d", "vol_5d", "vol_20d")), *(F.round(c, 5).alias(c) for c in ("log_volume_norm", "volume_change")))
+
+
+_EWM = f"""WITH RECURSIVE {BARS}, {_BPD},
+x AS (SELECT symbol, feed_id, ts, close, 14 * bars AS n, row_number() OVER ({W}) AS i, close - lag(close) OVER ({W}) AS move FROM bars JOIN bpd USING (symbol, feed_id)),
+run AS (
+  SELECT symbol, feed_id, i, ts, n, CAST(NULL AS DOUBLE) AS g, CAST(NULL AS DOUBLE) AS l, ln(close) AS f, ln(close) AS s, CAST(0 AS DOUBLE) AS m FROM x WHERE i = 1
+  UNION ALL
+  SELECT x.symbol, x.feed_id, x.i, x.ts, x.n,
+         CASE WHEN x.i = 2 THEN greatest(move, 0) ELSE g + (greatest(move, 0) - g) / x.n END,
+         CASE WHEN x.i = 2 THEN greatest(-move, 0) ELSE l + (greatest(-move, 0) - l) / x.n END,
+         f + (ln(close) - f) * 2 / 13, s + (ln(close) - s) * 2 / 27,
+         m + ((f + (ln(close) - f) * 2 / 13) - (s + (ln(close) - s) * 2 / 27) - m) * 2 / 10
+  FROM run JOIN x ON x.symbol = run.symbol AND x.feed_id = run.feed_id AND x.i = run.i + 1)
+SELECT symbol, feed_id, ts, round(CASE WHEN i > n AND l > 0 THEN 1 - 2 / (1 + g / l) ELSE 0 END, 6) AS rsi_14d, round(f - s - m, 8) AS macd_hist FROM run"""
+
+
+@query("win10_12_ewm", _EWM)
 def ewm(spark, d):
     b = bars(spark, d)
-    sized_ = b.join(series.bars_per_day(b).withColumn("rsi_length", F.col("bars") * 14), series.SOURCE)
-    e = series.ewm_columns(sized_)
-    return e.select(*KEY, F.coalesce(series.rsi(F.col("avg_gain"), F.col("avg_loss")), F.lit(0.0)).alias("rsi_14d"), "macd_hist")
+    rows = b.join(series.bars_per_day(b).withColumn("rsi_length", F.col("bars") * 14), series.SOURCE).select(*KEY, "close", "rsi_length")
+    e = chunks.exponential_means(chunks.ranked(rows, series.SOURCE), series.SOURCE, settle=written)
+    return e.select(*KEY, F.round(F.coalesce(series.rsi(F.col("avg_gain"), F.col("avg_loss")), F.lit(0.0)), 6).alias("rsi_14d"), r8("macd_hist", "macd_hist"))
 
 
 @query("agg02_03_session_shape", f"""WITH {BARS},
