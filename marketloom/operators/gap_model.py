@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from marketloom.functions.market import finite_or_zero
 from marketloom.operators.features import GAP_COLUMNS, GAP_MARKET, GAP_OWN
-from marketloom.operators.known_at import as_known, validity_intervals
+from marketloom.operators.known_at import attach, timeline, validity_intervals
 from marketloom.operators.series import SOURCE, in_time
 
 ALPHAS = np.logspace(-4, 3, 16)
@@ -41,17 +41,17 @@ def fit_ridge(x: np.ndarray, y: np.ndarray, alphas: np.ndarray = ALPHAS) -> tupl
     return coef, float(my - mean @ coef), float(a)
 
 
-def with_market(rows: DataFrame, key: list[str], at: str, returns: DataFrame, known: bool = True) -> DataFrame:
-    """rows with the five market returns as of ``at``; 0 where nothing was there.
+def with_market(rows: DataFrame, at: str, returns: DataFrame, known: bool = True, series: dict[str, str] = GAP_MARKET) -> DataFrame:
+    """rows with the market returns as of ``at``, by default all five; 0 where nothing was there.
 
     ``known`` uses what had been published by then; otherwise a day's value counts from that day's midnight.
     """
     versions = returns if known else returns.withColumn("known_at", F.col("trade_date").cast("timestamp"))
-    intervals = validity_intervals(versions.where(F.col("series_name").isin(*GAP_MARKET)), ["series_name"], "known_at", ["trade_date", "known_at", "obs_id", "day_return"], "day_return")
-    got = as_known(rows.withColumn("_id", F.struct(*key)), "_id", at, intervals, ["series_name"])
-    wide = got.groupBy("_id").pivot("series_name", list(GAP_MARKET)).agg(F.first("version.day_return"))
-    wide = wide.select("_id.*", *(F.col(s).alias(c) for s, c in GAP_MARKET.items()))
-    return rows.join(wide, key, "left").fillna(0.0, subset=list(GAP_MARKET.values()))
+    intervals = validity_intervals(versions.where(F.col("series_name").isin(*series)), ["series_name"], "known_at", ["trade_date", "known_at", "obs_id", "day_return"], "day_return")
+    names = {s: f"_as_known_{s}" for s in series}
+    line = timeline(intervals, "series_name", list(series)).withColumnsRenamed(names)
+    got = attach(rows, at, line, list(names.values()))
+    return got.select(*rows.columns, *(F.coalesce(F.col(names[s])["day_return"], F.lit(0.0)).alias(c) for s, c in series.items()))
 
 
 def training_rows(features: DataFrame, returns: DataFrame, source: list[str] = SOURCE, before_open: bool = True) -> DataFrame:
@@ -61,7 +61,7 @@ def training_rows(features: DataFrame, returns: DataFrame, source: list[str] = S
     rows = features.select(*source, "ts", "is_session_open", F.col("open").alias("_o"), F.lag("close").over(w).alias("_pc"), F.lag("ts").over(w).alias("_pts"), *lagged)
     rows = rows.where((F.col("is_session_open") > 0.5) & (F.col("_pc") > 0) & (F.col("_o") > 0))
     rows = rows.withColumn("target", F.ln(F.col("_o") / F.col("_pc"))).withColumn("_cut", F.col("ts") - F.expr("INTERVAL 1 MINUTE") if before_open else F.col("_pts"))
-    rows = with_market(rows, [*source, "ts"], "_cut", returns)
+    rows = with_market(rows, "_cut", returns)
     return rows.select(*source, "ts", "target", *(finite_or_zero(F.col(c)).alias(c) for c in GAP_COLUMNS))
 
 

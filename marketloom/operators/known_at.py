@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LEAF_S = 4096
 TOP_LEVEL = 12
@@ -70,32 +71,71 @@ def dyadic_nodes(intervals: DataFrame) -> DataFrame:
     )
 
 
-def as_known(events: DataFrame, event_id: str, event_time: str, intervals: DataFrame, entity: list[str], salts: int = 8, broadcast_intervals: int = 20_000) -> DataFrame:
-    """(event_id, entity..., version): for each event and entity the version valid at the event's time.
-
-    The entity columns come from the intervals; an event sees every entity unless it carries
-    columns of the same names, which then join too. Up to ``broadcast_intervals`` intervals
-    (counted first; at most some 30 nodes each) go to every executor, so events aren't shuffled.
-    Beyond that both sides are shuffled, and events at one hot instant are spread over ``salts``
-    copies of the nodes.
-    """
-    shared = [c for c in entity if c in events.columns]
-    few = intervals.limit(broadcast_intervals + 1).count() <= broadcast_intervals
-    ev = (
-        events.where(F.col(event_time).isNotNull())
-        .select(event_id, *shared, F.unix_micros(event_time).alias("_t"))
+def _levels(events: DataFrame, at: str) -> DataFrame:
+    """events with _t (microseconds) and a row for each level of nodes that may enclose it."""
+    return (
+        events.withColumn("_t", F.unix_micros(at))
         .withColumn("_leaf", _leaf(F.col("_t")))
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(TOP_LEVEL))).alias("level"))
-        .withColumn("node", F.expr("shiftright(_leaf, level)"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(TOP_LEVEL))).alias("_level"))
+        .withColumn("_node", F.expr("shiftright(_leaf, _level)"))
         .drop("_leaf")
     )
-    nodes = dyadic_nodes(intervals)
-    keys = ["level", "node", *shared]
+
+
+def _met(ev: DataFrame, intervals: DataFrame, shared: list[str], salt: Column, salts: int, few: bool) -> DataFrame:
+    """Events (with the columns of ``_levels``) on the nodes of the intervals that hold their time."""
+    nodes = dyadic_nodes(intervals).withColumnsRenamed({"level": "_level", "node": "_node"})
+    keys = ["_level", "_node", *shared]
     if few:
         nodes = F.broadcast(nodes)
     else:
         keys.append("_salt")
-        ev = ev.withColumn("_salt", F.pmod(F.xxhash64(event_id), F.lit(salts)).cast("int"))
+        ev = ev.withColumn("_salt", F.pmod(salt, F.lit(salts)).cast("int"))
         nodes = nodes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
-    pairs = ev.join(nodes, keys).where((F.col("_t") >= F.col("from_us")) & (F.col("to_us").isNull() | (F.col("_t") < F.col("to_us"))))
+    return ev.join(nodes, keys).where((F.col("_t") >= F.col("from_us")) & (F.col("to_us").isNull() | (F.col("_t") < F.col("to_us"))))
+
+
+def _few(intervals: DataFrame, most: int) -> bool:
+    return intervals.limit(most + 1).count() <= most
+
+
+def as_known(events: DataFrame, event_id: str, event_time: str, intervals: DataFrame, entity: list[str], salts: int = 8, broadcast_intervals: int = 20_000, disjoint: bool = False) -> DataFrame:
+    """(event_id, entity..., version): for each event and entity the version valid at the event's time.
+
+    The entity columns come from the intervals; an event sees every entity unless it carries
+    columns of the same names, which then join too. Up to ``broadcast_intervals`` intervals
+    (counted first; at most some 30 nodes each) go to every executor, so events aren't shuffled.
+    Beyond that both sides are shuffled, and events at one hot instant are spread over ``salts``
+    copies of the nodes. Intervals of an entity that are ``disjoint``, as ``validity_intervals``
+    makes them, meet an event once, so nothing is left to resolve (and event ids may repeat).
+    """
+    shared = [c for c in entity if c in events.columns]
+    ev = _levels(events.where(F.col(event_time).isNotNull()).select(event_id, *shared, event_time), event_time)
+    pairs = _met(ev, intervals, shared, F.xxhash64(event_id), salts, _few(intervals, broadcast_intervals))
+    if disjoint:
+        return pairs.select(event_id, *entity, "version")
     return pairs.groupBy(event_id, *entity).agg(F.max("version").alias("version"))
+
+
+def timeline(intervals: DataFrame, entity: str, names: list[str]) -> DataFrame:
+    """(from_us, to_us, one version column per name): what was known of all entities at once, for all time.
+
+    One row per publication; they are few beside the events (one window orders them).
+    """
+    changes = intervals.where(F.col(entity).isin(names)).groupBy("from_us").pivot(entity, names).agg(F.first("version"))
+    always = changes.sparkSession.range(1).select(F.lit(-(2**62)).alias("from_us"), *(F.lit(None).cast(changes.schema[n].dataType).alias(n) for n in names))
+    w = Window.orderBy("from_us")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    return changes.unionByName(always).select("from_us", F.lead("from_us").over(w).alias("to_us"), *(F.last(n, ignorenulls=True).over(upto).alias(n) for n in names))
+
+
+def attach(events: DataFrame, event_time: str, known: DataFrame, names: list[str], salts: int = 8, broadcast_intervals: int = 20_000) -> DataFrame:
+    """events, every row once, with the ``names`` columns of the disjoint intervals that cover all time; null for a null time.
+
+    Rows stay where they are if the intervals are few; there is no grouping and no join back.
+    """
+    ev = _levels(events.where(F.col(event_time).isNotNull()), event_time)
+    plain = [c for c in events.columns if not isinstance(events.schema[c].dataType, T.MapType)]
+    got = _met(ev, known, [], F.xxhash64(*plain), salts, _few(known, broadcast_intervals)).select(*events.columns, *names)
+    none = events.where(F.col(event_time).isNull()).select("*", *(F.lit(None).cast(known.schema[n].dataType).alias(n) for n in names))
+    return got.unionByName(none)

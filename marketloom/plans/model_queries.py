@@ -89,7 +89,7 @@ _ASOF = ", ".join(f"coalesce((SELECT arg_max(day_return, (trade_date, known_at,
 @query("join03_five_way_asof", f"SELECT event_id, {_ASOF} FROM gap_vector e WHERE event_time IS NOT NULL")
 def five_way(spark, d):
     e = table(spark, d, "gap_vector").where("event_time IS NOT NULL").select("event_id", "event_time")
-    return gap_model.with_market(e, ["event_id"], "event_time", table(spark, d, "market_returns")).drop("event_time")
+    return gap_model.with_market(e, "event_time", table(spark, d, "market_returns")).drop("event_time")
 
 
 def feature_frame(spark, d):
@@ -143,7 +143,7 @@ def hourly_table(spark, d, context: int = features.CONTEXT, forecaster: forecast
     shape = calendar.session_shape(bars(spark, d))
     nxt = calendar.next_bars(closes.select(*SRC, F.col("ts").alias("origin")).join(shape, SRC), 1, [*SRC, "origin"])
     cut = nxt.select(*SRC, F.col("origin").alias("_o"), calendar.information_cutoff(F.col("ts"), F.col("origin")).alias("_cut")).withColumnRenamed("_o", "ts")
-    at_close = gap_model.with_market(closes.join(cut, KEY), KEY, "_cut", returns)
+    at_close = gap_model.with_market(closes.join(cut, KEY), "_cut", returns)
     gap = gap_model.predict(at_close.join(models.select(*SRC), SRC, "left_semi"), models).select(*KEY, "gap_hat")
     out = base.join(step, KEY, "left").join(gap, KEY, "left")
     r = F.when(F.col("_f").isNotNull(), F.coalesce("gap_hat", "_f"))
@@ -169,7 +169,7 @@ def outlooks(f, b, returns, last: int = features.ORIGINS, context: int = feature
     ahead = calendar.next_bars(o.select(*KEY, F.col("ts").alias("origin")).join(calendar.session_shape_at(b, o), KEY).drop("ts"), 1, [*SRC, "origin"])
     cut = ahead.select(*SRC, F.col("origin").alias("_o"), calendar.information_cutoff(F.col("ts"), F.col("origin")).alias("_cut")).withColumnRenamed("_o", "ts")
     models = gap_model.fit_at(gap_model.training_rows(f, returns), o)
-    gaps = gap_model.predict(gap_model.with_market(o.join(cut, KEY), KEY, "_cut", returns), models, KEY)
+    gaps = gap_model.predict(gap_model.with_market(o.join(cut, KEY), "_cut", returns), models, KEY)
     gaps = gaps.select(*KEY, "i", "n", "origin_price", F.when(F.col("is_session_close") > 0.5, F.col("gap_hat")).alias("gap"))
     p = forecast.reconstruct(forecast.with_gap(p.join(gaps, KEY), "gap"), KEY)
     came = f.select(*SRC, F.col("i").alias("_i"), F.col("close").alias("actual_price"))

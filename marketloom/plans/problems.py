@@ -56,7 +56,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "gap_vector").select("event_id", "event_time")
     returns = table(spark, sf_dir, "market_returns").where(F.col("series_name").isin(*RETURN_FIELDS))
     intervals = known_at.validity_intervals(returns, ["series_name"], "known_at", ["trade_date", "known_at", "obs_id"], "day_return")
-    got = known_at.as_known(events, "event_id", "event_time", intervals, ["series_name"])
+    got = known_at.as_known(events, "event_id", "event_time", intervals, ["series_name"], disjoint=True)
     name = F.expr("CASE series_name " + " ".join(f"WHEN '{s}' THEN '{f}'" for s, f in RETURN_FIELDS.items()) + " END")
     return got.select("event_id", name.alias("field_name"), F.col("version.obs_id").alias("obs_id"))
 

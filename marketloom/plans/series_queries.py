@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketloom.operators import asof, chunks, dedupe, series
+from marketloom.operators import asof, chunks, dedupe, gap_model, series
 from marketloom.operators.calendar import session_shape
-from marketloom.operators.known_at import as_known, validity_intervals
 from marketloom.plans.registry import query
 from marketloom.session import table, written
 
@@ -166,15 +165,9 @@ _DAILY = "daily AS (SELECT series_name, CAST(trade_date AS TIMESTAMP) AS day, ar
 SELECT symbol, feed_id, ts, coalesce(v, 0.0) AS nifty_log_return
 FROM bars ASOF LEFT JOIN (SELECT epoch_us(day) AS us, v FROM daily WHERE series_name = 'nifty') n ON epoch_us(bars.ts) >= n.us""")
 def asof_daily(spark, d):
-    daily = asof.daily_series(table(spark, d, "market_returns")).where("series_name = 'nifty'")
-    right = daily.select(F.lit("all").alias("k"), F.col("trade_date").cast("timestamp").alias("t"), F.col("day_return").alias("nifty_log_return"))
-    left = bars(spark, d).select(*KEY)
-    # a union with one series would sort all bars in one task; dyadic nodes spread them
-    versions = right.withColumn("v", F.col("nifty_log_return"))
-    intervals = validity_intervals(versions, ["k"], "t", ["t", "nifty_log_return"], "v")
-    stamped = left.withColumn("id", F.struct(*KEY))
-    got = as_known(stamped, "id", "ts", intervals, ["k"]).select("id.*", F.col("version.nifty_log_return").alias("nifty_log_return"))
-    return left.join(got, KEY, "left").select(*KEY, F.coalesce("nifty_log_return", F.lit(0.0)).alias("nifty_log_return"))
+    returns = asof.daily_series(table(spark, d, "market_returns")).select("series_name", "trade_date", "day_return", F.lit(0).alias("obs_id"))
+    # a union with one series would sort all bars in one task; dyadic nodes leave them where they are
+    return gap_model.with_market(bars(spark, d).select(*KEY), "ts", returns, known=False, series={"nifty": "nifty_log_return"})
 
 
 @query("join07_previous_bar", f"WITH {BARS}, {MASKS} SELECT symbol, feed_id, ts, round(ln(open / pc), 8) AS target FROM (SELECT *, lag(close) OVER ({W}) AS pc FROM masks) WHERE is_open AND pc IS NOT NULL")

@@ -31,6 +31,16 @@ def test_as_known_equals_brute_force_and_never_looks_ahead(spark):
             if c:
                 want[i, s] = max(c)[2]
     assert got == want
+    lone = lambda n: sorted((x["event_id"], x["series"], x["version"]["obs_id"]) for x in known_at.as_known(e, "event_id", "at", iv, ["series"], broadcast_intervals=n, disjoint=True).collect())
+    assert lone(0) == lone(20_000) == sorted((*k, v) for k, v in want.items())
+    line = known_at.timeline(iv, "series", ["a", "b", "never"])
+    twice = e.unionByName(e)
+    for n in (0, 20_000):
+        rows = known_at.attach(twice, "at", line, ["a", "b", "never"], broadcast_intervals=n).collect()
+        assert len(rows) == 2 * e.count() and {x["node"] for x in rows} == {"clash"}
+        assert all(x["never"] is None and (x[s]["obs_id"] if x[s] else None) == want.get((x["event_id"], s)) for x in rows for s in "ab")
+    assert known_at.attach(e.limit(0), "at", line, ["a"]).collect() == []
+    assert len(known_at.attach(e, "at", known_at.timeline(iv.limit(0), "series", ["a"]), ["a"]).collect()) == e.count()
     assert known_at.as_known(e.limit(0), "event_id", "at", iv, ["series"]).collect() == []
     assert known_at.as_known(e, "event_id", "at", iv.limit(0), ["series"]).collect() == []
 
