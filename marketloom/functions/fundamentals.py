@@ -65,6 +65,9 @@ TABLE_METRICS = {
     "shareholding_yearly": _HOLDERS,
 }
 
+# Metrics that a page may name in two ways, the second standing in where the first is missing.
+SYNONYMS = {"sales": "revenue", "borrowings": "borrowing"}
+
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 _FULL = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
 #: White space as Python's ``\s`` has it for text.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.plans import problem_oracles as sql
 from marketloom.plans import problems as p
-from marketloom.plans import listing_queries, model_queries, series_queries, stream_queries  # noqa: F401 (registers)
+from marketloom.plans import capture_queries, listing_queries, model_queries, series_queries, stream_queries  # noqa: F401 (registers)
 from marketloom.plans.registry import ORACLES, QUERIES, Query
 
 
