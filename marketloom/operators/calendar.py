@@ -90,3 +90,9 @@ def information_cutoff(next_ts: Column, origin: Column, mode: str = "before_next
     if mode == "last_bar":
         return origin
     return F.coalesce(next_ts, origin + F.expr("INTERVAL 18 HOURS")) - F.expr("INTERVAL 1 MINUTE")
+
+
+def as_instant(text: Column, zone: str = INDIA) -> Column:
+    """A cutoff's text as an instant: with a zone or offset it is converted, without one it is the exchange's clock."""
+    own = F.trim(text).rlike(r"(Z|[+-][0-9]{2}:?[0-9]{2}|[A-Za-z]+/[A-Za-z_]+)$") & F.trim(text).rlike("[T ][0-9]{2}:")
+    return F.when(own, text.try_cast("timestamp")).otherwise(F.to_utc_timestamp(text.try_cast("timestamp"), zone))

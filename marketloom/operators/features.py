@@ -62,6 +62,12 @@ def build(bars: DataFrame, nifty: DataFrame | None = None, source: list[str] = s
     return out.withColumns(fixed).fillna(0.0, subset=MODEL_COLUMNS)
 
 
+def require_length(features: DataFrame, context: int = CONTEXT, source: list[str] = series.SOURCE) -> DataFrame:
+    """features themselves; the query fails for a source with fewer bars than the context."""
+    short = F.raise_error(F.concat(F.lit(f"fewer than {context} bars: "), F.concat_ws("/", *(F.col(c).cast("string") for c in source)))).cast("boolean")
+    return features.where(F.when(F.col("n") < context, short).otherwise(F.lit(True)))
+
+
 def close_origins(features: DataFrame, last: int = 30, context: int = CONTEXT, source: list[str] = series.SOURCE) -> DataFrame:
     """The last origins at session closes that have a full context before and a bar after them."""
     ok = features.where((F.col("is_session_close") > 0.5) & (F.col("i") + 1 >= context) & (F.col("i") + 1 < F.col("n")))

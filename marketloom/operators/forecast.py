@@ -83,6 +83,38 @@ def prepend_origin(paths: DataFrame, keys: list[str]) -> DataFrame:
     return paths.unionByName(first.withColumns(zero | price).select(*paths.columns))
 
 
+def attach_actuals(paths: DataFrame, bars: DataFrame, source: list[str] = SOURCE) -> DataFrame:
+    """paths (source..., i, horizon) with ts and actual_price of the bar ``horizon`` places after the origin's; bars have their place i."""
+    came = bars.select(*source, F.col("i").alias("_i"), "ts", F.col("close").alias("actual_price"))
+    return paths.drop("ts", "actual_price").withColumn("_i", F.col("i") + F.col("horizon")).join(came, [*source, "_i"], "left").drop("_i")
+
+
+def write_csv(paths: DataFrame, where: str, order: list[str]) -> DataFrame:
+    """paths as headed CSV in a new folder, in order; the same rows read back."""
+    paths.orderBy(*order).write.option("header", True).csv(where)
+    return paths.sparkSession.read.schema(paths.schema).option("header", True).csv(where)
+
+
+def plot(path, where: str) -> bool:
+    """Draws one path (a small pandas frame with horizon, predicted_price and maybe a band and actual prices); False without matplotlib."""
+    try:
+        from matplotlib.figure import Figure
+    except ImportError:
+        return False
+    fig = Figure(figsize=(9, 6))
+    top, low = fig.subplots(2, 1, sharex=True)
+    p = path.sort_values("horizon")
+    for c in ("predicted_price", "actual_price"):
+        if c in p:
+            top.plot(p["horizon"], p[c], label=c)
+    if {"price_q10", "price_q90"} <= set(p):
+        top.fill_between(p["horizon"], p["price_q10"], p["price_q90"], alpha=0.2)
+    top.legend()
+    low.bar(p["horizon"], p["predicted_log_return"])
+    fig.savefig(where)
+    return True
+
+
 def residuals(paths: DataFrame) -> DataFrame:
     """Rows with an actual price: return_residual and price_residual."""
     ok = (finite(F.col("actual_price")) > 0) & finite(F.col("predicted_price")).isNotNull() & (F.col("origin_price") > 0)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketloom.operators import calendar, chunks, features, forecast, gap_model, series
+from marketloom.operators import calendar, chunks, features, forecast, gap_model, predict, series
 from marketloom.plans.registry import query
 from marketloom.plans.series_queries import BARS, KEY, MASKS, asof_daily, bars
-from marketloom.session import checkpoint_dir, table
+from marketloom.session import checkpoint_dir, table, work_dir
 
 SRC = series.SOURCE
 _PATHS = f"""{BARS.replace("open, close, volume FROM", "open, close, volume, CASE WHEN isfinite(next_hour_return) THEN next_hour_return ELSE 0.0 END AS r FROM")},
@@ -118,7 +118,22 @@ def origins(spark, d):
     return features.close_origins(feature_frame(spark, d), features.ORIGINS).select(*KEY, "i", "close")
 
 
-@query("mdl02_03_next_bars")
+_STEPS = f"""WITH RECURSIVE {BARS},
+s AS (SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY symbol, feed_id ORDER BY ts) AS step, ((epoch_us(ts) + 19800000000) // 60000000) % 1440 AS minute FROM bars),
+q AS (SELECT symbol, feed_id, max(ts) AS origin, CAST(coalesce(median(step) FILTER (step <= 14400000000), 3600000000) AS BIGINT) AS step_us, CAST(floor(quantile_cont(minute, 0.05::DOUBLE)) AS BIGINT) AS a, CAST(floor(quantile_cont(minute, 0.95::DOUBLE)) AS BIGINT) AS z FROM s GROUP BY ALL),
+shape AS (SELECT symbol, feed_id, origin, step_us, CASE WHEN z <= a THEN 555 ELSE a END AS a, CASE WHEN z <= a THEN 915 ELSE z END AS z FROM q),
+walk AS (
+  SELECT symbol, feed_id, origin, step_us, a, z, 0 AS horizon, epoch_us(origin) + 19800000000 AS t FROM shape
+  UNION ALL
+  SELECT symbol, feed_id, origin, step_us, a, z, horizon + 1, CASE WHEN target = day AND minute >= a THEN n ELSE target * 86400000000 + a * 60000000 END
+  FROM (SELECT *, moved + CASE WHEN (moved + 3) % 7 >= 5 THEN 7 - (moved + 3) % 7 ELSE 0 END AS target FROM (
+    SELECT *, day + CASE WHEN (day + 3) % 7 < 5 AND minute > z THEN 1 ELSE 0 END AS moved FROM (
+      SELECT *, t + step_us AS n, (t + step_us) // 86400000000 AS day, ((t + step_us) // 60000000) % 1440 AS minute FROM walk WHERE horizon < 24)))),
+out AS (SELECT symbol, feed_id, origin, horizon, to_timestamp(0) + to_microseconds(t - 19800000000) AS ts FROM walk WHERE horizon > 0)
+SELECT *, first_value(ts) OVER (PARTITION BY symbol, feed_id ORDER BY horizon) - INTERVAL 1 MINUTE AS cutoff FROM out"""
+
+
+@query("mdl02_03_next_bars", _STEPS)
 def next_bars(spark, d):
     b = bars(spark, d)
     o = b.groupBy(*SRC).agg(F.max("ts").alias("origin")).join(calendar.session_shape(b), SRC)
@@ -156,40 +171,15 @@ def hourly(spark, d):
     return hourly_table(spark, d)
 
 
-def outlooks(f, b, returns, last: int = features.ORIGINS, context: int = features.CONTEXT, forecaster: forecast.Forecaster = forecast.drift):
-    """Paths (source..., ts, i, n, horizon, ...) with actual prices from each source's last bar (i = n - 1) and from up to ``last`` session closes before it.
-
-    Every origin has the gap model and the session of what came before it only.
-    """
-    full = f.where(f"i = n - 1 AND n >= {int(context)}")
-    o = full.unionByName(features.close_origins(f, last, context)) if last else full
-    o = o.select(*KEY, "i", "n", F.col("close").alias("origin_price"), "is_session_close", *features.GAP_OWN).checkpoint()
-    marked = f.join(o.select(*KEY, F.lit(True).alias("_at")), KEY, "left").fillna(False, subset=["_at"])
-    p = forecast.steps(forecast.sliding(marked, forecaster, context, origins="_at"), KEY)
-    ahead = calendar.next_bars(o.select(*KEY, F.col("ts").alias("origin")).join(calendar.session_shape_at(b, o), KEY).drop("ts"), 1, [*SRC, "origin"])
-    cut = ahead.select(*SRC, F.col("origin").alias("_o"), calendar.information_cutoff(F.col("ts"), F.col("origin")).alias("_cut")).withColumnRenamed("_o", "ts")
-    models = gap_model.fit_at(gap_model.training_rows(f, returns), o)
-    gaps = gap_model.predict(gap_model.with_market(o.join(cut, KEY), "_cut", returns), models, KEY)
-    gaps = gaps.select(*KEY, "i", "n", "origin_price", F.when(F.col("is_session_close") > 0.5, F.col("gap_hat")).alias("gap"))
-    p = forecast.reconstruct(forecast.with_gap(p.join(gaps, KEY), "gap"), KEY)
-    came = f.select(*SRC, F.col("i").alias("_i"), F.col("close").alias("actual_price"))
-    return p.withColumn("_i", F.col("i") + F.col("horizon")).join(came, [*SRC, "_i"], "left").drop("_i")
-
-
 def rolling(spark, d, context: int = features.CONTEXT, forecaster: forecast.Forecaster = forecast.drift):
     """(the paths from each source's last bar, the bands of its own earlier session closes)."""
-    f = settled_features(spark, d)
-    p = outlooks(f, bars(spark, d), table(spark, d, "market_returns"), context=context, forecaster=forecaster).checkpoint()
-    return p.where("i = n - 1").drop("actual_price"), forecast.rolling_bands(p.where("i < n - 1"))
+    return predict.rolling(settled_features(spark, d), bars(spark, d), table(spark, d, "market_returns"), context=context, forecaster=forecaster)
 
 
 def directions(spark, d, context: int = features.CONTEXT, forecaster: forecast.Forecaster = forecast.drift):
     """The calibrated 24-bar outlook of every source from its last bar, with its steps' stamps."""
     p, known = rolling(spark, d, context, forecaster)
-    p = forecast.apply_calibration(p.withColumnRenamed("ts", "origin"), known, SRC)
-    b = bars(spark, d)
-    future = calendar.next_bars(p.where("horizon = 1").select(*SRC, "origin").join(calendar.session_shape(b), SRC), features.HORIZON, [*SRC, "origin"])
-    return p.join(future.select(*SRC, "horizon", "ts"), [*SRC, "horizon"])
+    return predict.stamped(forecast.apply_calibration(p.withColumnRenamed("ts", "origin"), known, SRC), bars(spark, d))
 
 
 @query("mdl13_rolling_bands")
@@ -204,8 +194,34 @@ def rolling_path(spark, d):
 
 @query("mdl11_20_21_predictions")
 def predictions(spark, d):
-    p = directions(spark, d)
-    s = forecast.signals(p, SRC)
-    o = p.where("horizon = 1").select(*SRC, "origin", "origin_price", "gap")
-    score = forecast.signed_strength(F.col("path_return"), forecast.PATH_THRESHOLD)
-    return s.join(o, SRC).select(*SRC, F.col("origin").alias("origin_time"), "signal", "direction", score.alias("score"), "confidence", "path_return", "gap", "origin_price")
+    return predict.signal_rows(directions(spark, d))
+
+
+@query("mdl21_flt09_predictions_before_cutoff")
+def predictions_before(spark, d):
+    """What the public call gives for every source with bars before a cutoff, calibrated on closes before it."""
+    returns = table(spark, d, "market_returns")
+    return predict.predictions(bars(spark, d), returns, settled_features(spark, d), cutoff="2025-06-01 00:00:00+00:00", calibrate=True, missing="skip")[0]
+
+
+@query("snk10_signal_rows", f"{_SIGNALS} SELECT symbol, feed_id, origin_price, signal, round(greatest(-1.0, least(1.0, path_return / 0.005)), 6) AS score, round(confidence, 6) AS confidence, round(path_return, 6) AS path_return FROM x JOIN (SELECT DISTINCT symbol, feed_id, origin_price FROM raw) USING (symbol, feed_id)")
+def signal_row_query(spark, d):
+    p = paths(spark, d).withColumn("origin", F.lit(None).cast("timestamp")).withColumn("gap", F.lit(None).cast("double"))
+    return predict.signal_rows(p).select(*SRC, "origin_price", "signal", _r("score", 6), _r("confidence", 6), _r("path_return", 6))
+
+
+@query("snk09_forecast_csv", f"WITH {_PATHS} SELECT symbol, feed_id, horizon, round(predicted_price, 5) AS predicted_price, actual_price FROM paths UNION ALL SELECT symbol, feed_id, 0, origin_price, origin_price FROM paths WHERE horizon = 1")
+def forecast_csv(spark, d):
+    """Origin and path as CSV files, read back."""
+    p = forecast.prepend_origin(paths(spark, d), SRC).select(*SRC, "horizon", "predicted_price", "actual_price")
+    return forecast.write_csv(p, work_dir(spark, "paths"), [*SRC, "horizon"]).select(*SRC, "horizon", F.round("predicted_price", 5).alias("predicted_price"), "actual_price")
+
+
+@query("join08_positional_actuals", f"""WITH {BARS}, numbered AS (SELECT *, row_number() OVER (PARTITION BY symbol, feed_id ORDER BY ts) - 1 AS i FROM bars),
+o AS (SELECT symbol, feed_id, max(i) AS i FROM numbered WHERE ts < TIMESTAMPTZ '2025-01-01 00:00:00+00' GROUP BY ALL), h AS (SELECT CAST(unnest(range(1, 25)) AS INTEGER) AS horizon)
+SELECT o.symbol, o.feed_id, h.horizon, b.ts, b.close AS actual_price FROM o CROSS JOIN h LEFT JOIN numbered b ON b.symbol = o.symbol AND b.feed_id = o.feed_id AND b.i = o.i + h.horizon""")
+def positional(spark, d):
+    b = chunks.ranked(bars(spark, d), SRC)
+    o = b.where(F.col("ts") < F.lit("2025-01-01 00:00:00+00:00").cast("timestamp")).groupBy(*SRC).agg(F.max("i").alias("i"))
+    p = o.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(features.HORIZON))))
+    return forecast.attach_actuals(p, b, SRC).select(*SRC, "horizon", "ts", "actual_price")

@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from marketloom.functions.fundamentals import metric_name, norm_label
+from marketloom.functions.fundamentals import MONTHS, TABLE_METRICS, metric_name, norm_label
 from marketloom.functions.market import figure
+from marketloom.operators.articles import collapsed
 
 # The sections of a company page, the place of a table in its section, and its name.
 SECTIONS = (
@@ -30,8 +31,9 @@ SECTIONS = (
     ("shareholding", 0, "shareholding_quarterly"),
     ("shareholding", 1, "shareholding_yearly"),
 )
+# The tables of which a page must have one.
 CORE = ("quarterly_results", "profit_loss", "balance_sheet", "cash_flow", "ratios")
-PERIOD = re.compile(r"(?:(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)\s+\d{4}|TTM)")
+PERIOD = re.compile(rf"(?:(?:{'|'.join(MONTHS)})\s+\d{{4}}|TTM)")
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -165,18 +167,29 @@ def fundamentals(pages: DataFrame, modes: bool = True) -> DataFrame:
     return chosen.where(norm_label(F.col("label")) != "").select(F.upper(F.trim("symbol")).alias("symbol"), "table_name", "financial_period", metric_name(F.col("label")).alias("metric"), figure(F.col("text")).alias("value"))
 
 
-def fundamentals_table(long: DataFrame, name: str, metrics: tuple[str, ...]) -> DataFrame:
-    """One wide table: a row per symbol and period, a column per metric."""
-    return long.where(F.col("table_name") == name).groupBy("symbol", "financial_period").pivot("metric", list(metrics)).agg(F.max("value"))
+def fundamentals_table(long: DataFrame, name: str, metrics: tuple[str, ...] | None = None) -> DataFrame:
+    """One wide table: a row per symbol and period, a column per metric, by default those of the table's layout."""
+    return long.where(F.col("table_name") == name).groupBy("symbol", "financial_period").pivot("metric", list(metrics or TABLE_METRICS[name])).agg(F.max("value"))
+
+
+def available(pages: DataFrame) -> DataFrame:
+    """Pages (status, final_url, html, ...) that hold a company: answered, found, and not led away from it."""
+    text = F.lower(F.coalesce("html", F.lit("")))
+    found = ~(F.contains(text, F.lit("page not found")) | F.contains(text, F.lit("could not find")))
+    return pages.where((F.col("status") == 200) & found & F.contains(F.lower("final_url"), F.lit("/company/")))
 
 
 def stories(pages: DataFrame) -> DataFrame:
-    """(url, heading, content, date, companies) of pages (page_url, company_name, html): a story once, with all its companies."""
-    raw = _mapped(pages.select("page_url", "company_name", "html"), ["company_name"], "heading string, content string, url string, date string", lambda r: story_rows(r["html"], r["page_url"]))
-    from marketloom.operators.lake import collapse
+    """(url, heading, content, date, companies) of pages (page_url, company_name, html): a story once, with all its companies.
 
-    numbered = raw.where("url <> ''").withColumn("_seq", F.struct("company_name", "heading", "content", "date"))
-    return collapse(numbered, ["url"], "_seq", last=["heading", "content", "date"], sets={"company_name": "companies"})
+    Of differing texts the last in the order of arrival counts: by ``page_no``, where pages carry
+    it, then by the place on the page.
+    """
+    if "page_no" not in pages.columns:
+        pages = pages.withColumn("page_no", F.lit(0))
+    numbered = lambda r: [(*x, i) for i, x in enumerate(story_rows(r["html"], r["page_url"]))]
+    raw = _mapped(pages.select("page_no", "page_url", "company_name", "html"), ["page_no", "page_url", "company_name"], "heading string, content string, url string, date string, place int", numbered)
+    return collapsed(raw.withColumnRenamed("company_name", "company").withColumn("_seq", F.struct("page_no", "page_url", "place")), "_seq")
 
 
 def companies(pages: DataFrame) -> DataFrame:
@@ -187,7 +200,7 @@ def companies(pages: DataFrame) -> DataFrame:
 
 
 class CapturedPages(DataSource):
-    """``spark.read.format("captured_pages").load(folder)``: (name, html), one partition per file."""
+    """``spark.read.format("captured_pages").load(folder)``: (name, html); up to FILES_A_TASK files to a partition."""
 
     @classmethod
     def name(cls) -> str:
@@ -200,9 +213,13 @@ class CapturedPages(DataSource):
         return _Reader(self.options["path"])
 
 
-class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+#: Files that one task reads.
+FILES_A_TASK = 64
+
+
+class _Files(InputPartition):
+    def __init__(self, paths: list[str]):
+        self.paths = paths
 
 
 class _Reader(DataSourceReader):
@@ -210,8 +227,10 @@ class _Reader(DataSourceReader):
         self.folder = folder
 
     def partitions(self) -> list[InputPartition]:
-        return [_File(os.path.join(self.folder, f)) for f in sorted(os.listdir(self.folder)) if f.endswith((".html", ".htm"))]
+        names = [os.path.join(self.folder, f) for f in sorted(os.listdir(self.folder)) if f.endswith((".html", ".htm"))]
+        return [_Files(names[i : i + FILES_A_TASK]) for i in range(0, len(names), FILES_A_TASK)]
 
-    def read(self, partition: _File):
-        with open(partition.path, encoding="utf-8", errors="replace") as f:
-            yield os.path.basename(partition.path), f.read()
+    def read(self, partition: _Files):
+        for path in partition.paths:
+            with open(path, encoding="utf-8", errors="replace") as f:
+                yield os.path.basename(path), f.read()

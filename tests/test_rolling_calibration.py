@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators import calendar, features, forecast, gap_model
+from marketloom import api
+from marketloom.operators import calendar, features, forecast, gap_model, predict
 from marketloom.plans import model_queries
 
 CONTEXT, LAST = 60, 6
@@ -57,7 +58,7 @@ def brute(f, training, market, last):
 
 def test_bands_come_from_the_sources_own_earlier_closes(spark, tables):
     bars, returns, f = tables
-    got = model_queries.outlooks(f, bars, returns, LAST, CONTEXT).checkpoint()
+    got = predict.outlooks(f, bars, returns, LAST, CONTEXT).checkpoint()
     pf, training = f.toPandas(), gap_model.training_rows(f, returns).toPandas()
     # what was known a minute before the next bar, by the shape of the bars up to each origin
     market = {}
@@ -107,3 +108,36 @@ def test_registered_origins_have_the_whole_context(spark, monkeypatch):
     f = spark.createDataFrame(rows, "symbol string, feed_id long, ts timestamp, i long, n long, is_session_close double, close double")
     monkeypatch.setattr(model_queries, "feature_frame", lambda *_: f)
     assert sorted(r.i for r in model_queries.origins(spark, "").collect()) == [511, 515]
+
+
+def test_cutoff_moves_the_origin_and_what_may_be_known(spark, tables):
+    bars, returns, f = tables
+    full = predict.outlooks(f, bars, returns, LAST, CONTEXT)
+    one = full.where("NOT main AND symbol = 'quiet'").agg(F.max("ts")).first()[0]
+    cut = (one + dt.timedelta(minutes=1)).isoformat() + "+00:00"
+    got = predict.outlooks(f, bars, returns, LAST, CONTEXT, cutoff=cut, missing="skip").where("symbol = 'quiet'")
+    main = {r.horizon: r for r in got.where("main").collect()}
+    then = {r.horizon: r for r in full.where(F.col("ts") == F.lit(one)).where("symbol = 'quiet'").collect()}
+    assert {h: (r.ts, r.origin_log_return, r.actual_price) for h, r in main.items()} == {h: (r.ts, r.origin_log_return, r.actual_price) for h, r in then.items()}
+    # the closes are those of the whole history before the origin, so fewer than LAST are left
+    assert got.where("NOT main").select("i").distinct().count() == full.where("NOT main AND symbol = 'quiet'").select("i").distinct().count() - 1
+    with pytest.raises(Exception, match="no bars before"):
+        predict.outlooks(f, bars, returns, LAST, CONTEXT, cutoff="2001-01-01").collect()
+
+
+def test_predict_direction_of_a_price_list(spark):
+    r = np.random.default_rng(3)
+    prices = list(100 * np.exp(np.cumsum(r.normal(0.0004, 0.001, 120))))
+    got = api.predict_direction(spark, prices, calibrate=True, context=60, end=dt.datetime(2024, 6, 28, 16))
+    assert got.signal in ("BUY", "SELL", "HOLD") and len(got.directions) == len(got.scores) == 24 and got.origin_price == prices[-1]
+    assert got.scores[1] == pytest.approx(np.mean(np.diff(np.log(prices))[-60:]))
+    assert got.score == pytest.approx(np.clip(got.path_return / 0.005, -1, 1)) and got.origin_time == dt.datetime(2024, 6, 28, 15, 15)
+    signal, steps = got.to_records(" abc ", dt.datetime(2024, 7, 1))
+    assert signal["symbol"] == "ABC" and signal["signal"] == got.signal and [s["horizon"] for s in steps] == list(range(1, 25))
+    plain = api.predict_direction(spark, prices, timestamps=[dt.datetime(2024, 1, 1) + dt.timedelta(hours=i) for i in range(120)], cutoff="2024-01-05T00:00:00+00:00", context=60)
+    assert plain.origin_price == prices[95] and plain.gap is None  # no session ends there
+    for bad in ({"prices": []}, {"prices": [1.0, float("nan")]}, {"prices": [1.0, 0.0]}, {"prices": [1.0, 2.0], "volumes": [1.0]}, {"prices": [1.0, 2.0], "timestamps": ["2024-01-01", "2024-01-01"]}):
+        with pytest.raises(ValueError):
+            api.predict_direction(spark, **bad)
+    with pytest.raises(ValueError, match="bars"):
+        api.predict_direction(spark, prices)
