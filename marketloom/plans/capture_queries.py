@@ -8,11 +8,12 @@ from marketloom.functions import fundamentals as fn
 from marketloom.functions import market as m
 from marketloom.functions.names import flat_names
 from marketloom.operators import articles, dedupe, lake, statements
+from marketloom.operators.calendar import as_instant
 from marketloom.operators.lake import Lake, TableSpec
 from marketloom.plans.problem_oracles import _WS
 from marketloom.plans.registry import query
 from marketloom.session import table, work_dir, written
-from marketloom.sources import listings, prices, quotes
+from marketloom.sources import listings, nav_text, pages, prices, quotes
 
 
 def universe(spark, d):
@@ -338,3 +339,43 @@ def predictions_with_prices(predictions, price_history):
     """The documented view: every prediction with the price row of its bar."""
     key = ["symbol", "exchange", "bar_time"]
     return predictions.join(price_history, key).select(*key, "close", "signal")
+
+
+@query("src05_nst10_scheme_history", "SELECT scheme_code, strftime(try_strptime(trim(nav_date), ['%d-%m-%Y', '%d-%b-%Y', '%Y-%m-%d']), '%Y-%m-%d') AS nav_date, CASE WHEN scheme_code % 3 = 0 THEN 'G' ELSE 'D' END AS isin, 'Scheme ' || scheme_code AS scheme_name, nav, 'mfapi' AS source FROM nav_history WHERE isfinite(nav) AND scheme_code % 5 <> 0 AND try_strptime(trim(nav_date), ['%d-%m-%Y', '%d-%b-%Y', '%Y-%m-%d']) IS NOT NULL")
+def scheme_history(spark, d):
+    """NAV rows as the history site's documents, one per scheme: some without success, some figures unreadable."""
+    where = work_dir(spark, "history")
+    s = F.col("scheme_code")
+    nav = F.coalesce(m.finite(F.col("nav")).cast("string"), F.lit("N.A."))
+    docs = table(spark, d, "nav_history").where("scheme_code IS NOT NULL").groupBy("scheme_code").agg(F.collect_list(F.struct(F.col("nav_date").alias("date"), nav.alias("nav"))).alias("data"))
+    meta = F.struct("scheme_code", F.concat(F.lit("Scheme "), s.cast("string")).alias("scheme_name"), F.when(s % 3 == 0, "G").otherwise("-").alias("isin_growth"), F.lit("D").alias("isin_div_reinvestment"))
+    docs.select(F.when(s % 5 == 0, "ERROR").otherwise("SUCCESS").alias("status"), meta.alias("meta"), "data").write.json(where)
+    return nav_text.read_history(spark, where, lines=True)
+
+
+@query("prj09_cutoff_instants", "SELECT event_id, event_time AS local, event_time AS zoned, event_time AS utc FROM gap_vector WHERE event_time IS NOT NULL")
+def prj09(spark, d):
+    """Event times as cutoff texts on the exchange's clock, with its offset and in UTC; all name one instant."""
+    e = table(spark, d, "gap_vector").where("event_time IS NOT NULL")
+    clock = F.date_format(F.from_utc_timestamp("event_time", m.INDIA), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    utc = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return e.select("event_id", as_instant(clock).alias("local"), as_instant(F.concat(clock, F.lit("+05:30"))).alias("zoned"), as_instant(utc).alias("utc"))
+
+
+def page_capture(spark, d):
+    """Statements as company pages: one table per page, a column that is no period and figures with signs."""
+    return statements.cells(table(spark, d, "screener_facts")).where(F.col("table_name") == "ratios").where(F.col("metric").isin(*fn.TABLE_METRICS["ratios"]))
+
+
+@query("nst01_03_pages", f"WITH {_CELLS}, named AS (SELECT *, coalesce(element_at({_ALIAS}, k)[1], {_SNAKE}) AS metric FROM cells WHERE value IS NOT NULL AND financial_period IS NOT NULL AND table_name = 'ratios'), last AS (SELECT symbol, financial_period, metric, arg_max(value, (ingested_at, load_seq)) AS value FROM named GROUP BY ALL) SELECT symbol, financial_period, {', '.join(f'max(value) FILTER (metric = {chr(39)}{c}{chr(39)}) AS {c}' for c in fn.TABLE_METRICS['ratios'])} FROM last WHERE metric IN ({', '.join(repr(c) for c in fn.TABLE_METRICS['ratios'])}) GROUP BY ALL")
+def pages_round(spark, d):
+    """Ratio cells rendered as HTML pages, parsed, and transposed to one row per period."""
+    c = page_capture(spark, d)
+    cell = F.struct("financial_period", "metric", F.col("value").cast("string").alias("v"))
+    by = c.groupBy("symbol").agg(F.array_sort(F.collect_set("financial_period")).alias("p"), F.array_sort(F.collect_set("metric")).alias("k"), F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "financial_period", "metric"), cell["v"]))).alias("v"))
+    td = lambda x: F.concat(F.lit("<td>"), x, F.lit("</td>"))
+    head = F.concat(F.lit("<tr><th></th><th>Notes</th>"), F.array_join(F.transform("p", lambda x: F.concat(F.lit("<th>"), x, F.lit("</th>"))), ""), F.lit("</tr>"))
+    row = lambda k: F.concat(F.lit("<tr>"), td(F.replace(k, F.lit("_pct"), F.lit(" %"))), td(F.lit("n/a")), F.array_join(F.transform("p", lambda x: td(F.coalesce(F.try_element_at("v", F.concat_ws("|", x, k)), F.lit("")))), ""), F.lit("</tr>"))
+    html = F.concat(F.lit("<section id='ratios'><table>"), head, F.array_join(F.transform("k", row), ""), F.lit("</table></section>"))
+    long = pages.fundamentals(by.select("symbol", F.lit(True).alias("consolidated"), html.alias("html")))
+    return pages.fundamentals_table(long.where("value IS NOT NULL"), "ratios")

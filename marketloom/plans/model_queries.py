@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketloom.operators import calendar, chunks, features, forecast, gap_model, predict, series
-from marketloom.plans.registry import query
-from marketloom.plans.series_queries import BARS, KEY, MASKS, asof_daily, bars
+from marketloom.plans.registry import ORACLES, query
+from marketloom.plans.series_queries import BARS, EWM, KEY, MASKS, asof_daily, bars
 from marketloom.session import checkpoint_dir, table, work_dir
 
 SRC = series.SOURCE
@@ -102,9 +102,38 @@ def settled_features(spark, d):
     return feature_frame(spark, d).checkpoint()
 
 
-@query("mdl01_features")
+def _unrounded(sql: str) -> str:
+    """A statement without its round(x, digits), so that a statement made of it rounds once."""
+    at = sql.find("round(")
+    while at >= 0:
+        depth, comma, i = 0, at, at + 6
+        while depth or sql[i] != ")":
+            depth += (sql[i] == "(") - (sql[i] == ")")
+            comma = i if sql[i] == "," and not depth else comma
+            i += 1
+        sql = f"{sql[:at]}({sql[at + 6 : comma]}){sql[i + 1 :]}"
+        at = sql.find("round(", at)
+    return sql
+
+
+_FRAME_DIGITS = 5
+_MEANS = _unrounded(EWM).replace("(f - s - m) AS macd_hist", "f - s - m AS macd_hist, n // 14 AS k")
+_PART = {k: _unrounded(ORACLES[k]) for k in ("win15_18_session_gaps", "win13_14_session_masks", "win02_06_data_sized_windows", "join01_asof_daily")}
+_FRAME_COLUMNS = [c for c in (*features.EXTRA, *features.MODEL_COLUMNS) if c not in ("open", "close", "nifty_log_return")]
+_FRAME = f"""SELECT symbol, feed_id, ts, i, n, open, close, nifty_log_return, {", ".join(f"round({f'coalesce({c}, 0.0)' if c in features.MODEL_COLUMNS else c}, {_FRAME_DIGITS}) AS {c}" for c in _FRAME_COLUMNS)}
+FROM (SELECT symbol, feed_id, ts, open, close, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY symbol, feed_id) AS n, CAST(is_open AS DOUBLE) AS is_session_open, CAST(is_close AS DOUBLE) AS is_session_close, ln(close) - lag(ln(close)) OVER w AS log_return FROM (WITH {BARS}, {MASKS} SELECT * FROM masks) WINDOW w AS (PARTITION BY symbol, feed_id ORDER BY ts))
+JOIN ({_PART["win15_18_session_gaps"]}) USING (symbol, feed_id, ts)
+JOIN ({_PART["win13_14_session_masks"]}) USING (symbol, feed_id, ts)
+JOIN ({_PART["win02_06_data_sized_windows"]}) USING (symbol, feed_id, ts)
+JOIN ({_PART["join01_asof_daily"]}) USING (symbol, feed_id, ts)
+JOIN (SELECT symbol, feed_id, ts, rsi_14d, CASE WHEN count(*) OVER z >= greatest(20 * k, 35) THEN (macd_hist - avg(macd_hist) OVER z) / nullif(stddev_pop(macd_hist) OVER z, 0) END AS macd_hist
+      FROM ({_MEANS}) WINDOW z AS (PARTITION BY symbol, feed_id ORDER BY ts ROWS BETWEEN greatest(20 * k, 35) - 1 PRECEDING AND CURRENT ROW)) USING (symbol, feed_id, ts)"""
+
+
+@query("mdl01_features", _FRAME)
 def feature_query(spark, d):
-    return feature_frame(spark, d)
+    f = feature_frame(spark, d)
+    return f.select(*KEY, "i", "n", "open", "close", "nifty_log_return", *(F.round(c, _FRAME_DIGITS).alias(c) for c in _FRAME_COLUMNS))
 
 
 _ORIGINS = f"""WITH {BARS}, {MASKS},

@@ -121,7 +121,7 @@ def sized(spark, d):
     return x.select(*KEY, *(F.round(c, 7).alias(c) for c in ("ret_5d", "ret_20d", "vol_5d", "vol_20d")), *(F.round(c, 5).alias(c) for c in ("log_volume_norm", "volume_change")))
 
 
-_EWM = f"""WITH RECURSIVE {BARS}, {_BPD},
+EWM = f"""WITH RECURSIVE {BARS}, {_BPD},
 x AS (SELECT symbol, feed_id, ts, close, 14 * bars AS n, row_number() OVER ({W}) AS i, close - lag(close) OVER ({W}) AS move FROM bars JOIN bpd USING (symbol, feed_id)),
 run AS (
   SELECT symbol, feed_id, i, ts, n, CAST(NULL AS DOUBLE) AS g, CAST(NULL AS DOUBLE) AS l, ln(close) AS f, ln(close) AS s, CAST(0 AS DOUBLE) AS m FROM x WHERE i = 1
@@ -135,7 +135,7 @@ run AS (
 SELECT symbol, feed_id, ts, round(CASE WHEN i > n AND l > 0 THEN 1 - 2 / (1 + g / l) ELSE 0 END, 6) AS rsi_14d, round(f - s - m, 8) AS macd_hist FROM run"""
 
 
-@query("win10_12_ewm", _EWM)
+@query("win10_12_ewm", EWM)
 def ewm(spark, d):
     b = bars(spark, d)
     rows = b.join(series.bars_per_day(b).withColumn("rsi_length", F.col("bars") * 14), series.SOURCE).select(*KEY, "close", "rsi_length")

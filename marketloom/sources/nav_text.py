@@ -33,10 +33,10 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
 HISTORY = "status string, meta struct<scheme_code: long, scheme_name: string, isin_growth: string, isin_div_reinvestment: string>, data array<struct<date: string, nav: string>>"
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """NAV rows of per-scheme JSON documents; those without success or data give none. A bad row
+def read_history(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """NAV rows of per-scheme JSON documents (one a file, or one a line); those without success or data give none. A bad row
     drops itself, not its scheme."""
-    docs = spark.read.schema(HISTORY).option("multiLine", True).json(path).where("status = 'SUCCESS'")
+    docs = spark.read.schema(HISTORY).option("multiLine", not lines).json(path).where("status = 'SUCCESS'")
     rows = docs.select("meta", F.explode("data").alias("r")).select(
         F.col("meta.scheme_code").alias("scheme_code"),
         nav_date_iso(F.col("r.date")).alias("nav_date"),
