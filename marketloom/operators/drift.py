@@ -117,6 +117,12 @@ def paths(c: DataFrame) -> DataFrame:
     )
 
 
+def kind_counts(files: DataFrame) -> DataFrame:
+    """(feed_id, file_no, field, kind, n): how many values of a field are of a kind; fields that are null throughout don't come out."""
+    e = entries(files).where(F.col("kind").isNotNull())
+    return e.groupBy(*FILE, "field", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 def kinds_by_file(p: DataFrame) -> DataFrame:
     """paths with prev_file, next_file, the kind of each field in the file, and the kind it had before."""
     order = Window.partitionBy("feed_id").orderBy("file_no")

@@ -15,7 +15,9 @@ def queries() -> dict[str, Query]:
         "p1_found": p.p1_found,
         "p1_table": p.p1_table,
         "p1_unions": p.p1_unions,
+        "p1_kinds": p.p1_kinds,
         "p2_found": p.p2_found,
+        "p2_nav_dates": p.p2_nav_dates,
         "p2_bars": p.p2_bars,
         "p3_found": p.p3_found,
         "p4_found": p.p4_found,
@@ -28,6 +30,8 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p1_kinds": sql.P1_KINDS,
+        "p2_nav_dates": sql.P2_NAV_DATES,
         "p3_found": sql.P3_FOUND,
         "p4_found": sql.P4_FOUND,
         "p5_found": sql.P5_FOUND,

@@ -37,12 +37,6 @@ def prj04(spark, d):
     return k.select("key", m.symbol_of_key(F.col("key")).alias("parsed"))
 
 
-@query("prj05_entry_list", "SELECT exchange, symbol, count(*) AS n FROM equity_universe GROUP BY ALL")
-def prj05(spark, d):
-    k = universe(spark, d).select(m.instrument_key(F.col("exchange"), F.col("symbol")).alias("key"))
-    return k.select(F.split_part("key", F.lit(":"), F.lit(1)).alias("exchange"), F.split_part("key", F.lit(":"), F.lit(2)).alias("symbol")).groupBy("exchange", "symbol").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("prj06_07_bar_time", "SELECT load_seq, strftime(to_timestamp(0) + to_microseconds(epoch_us(timestamp)), '%Y-%m-%dT%H:%M:%S+00:00')[1:19] || '+00:00' AS bar_time, strftime(DATE '1970-01-01' + CAST((epoch_us(timestamp) + 19800000000) // 86400000000 AS INTEGER), '%Y-%m-%d') || 'T00:00:00+00:00' AS trading_day FROM (SELECT load_seq, make_timestamp(epoch_us(timestamp)) AS timestamp FROM hourly_prices)".replace("strftime(to_timestamp(0) + to_microseconds(epoch_us(timestamp)), '%Y-%m-%dT%H:%M:%S+00:00')[1:19] || '+00:00'", "strftime(timestamp, '%Y-%m-%dT%H:%M:%S') || '+00:00'"))
 def prj06(spark, d):
     return table(spark, d, "hourly_prices").select("load_seq", m.bar_time_iso(F.col("timestamp")).alias("bar_time"), m.trading_day_bar_time(F.col("timestamp")).alias("trading_day"))
@@ -72,11 +66,6 @@ def prj14(spark, d):
     return u.select("symbol", "exchange", m.first_filled(F.regexp_replace("company_name", r"\s+", " "), F.col("symbol")).alias("name")).groupBy("symbol", "exchange", "name").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("prj16_17_fallbacks", "SELECT load_seq, coalesce(nullif(nullif(trim(isin), ''), '-'), 'none') AS isin, coalesce(nav, 0.0) AS nav FROM (SELECT load_seq, isin, CASE WHEN isfinite(nav) THEN nav END AS nav FROM nav_history)")
-def prj16(spark, d):
-    return table(spark, d, "nav_history").select("load_seq", m.first_filled(F.col("isin"), F.lit("none")).alias("isin"), m.finite_or_zero(F.col("nav")).alias("nav"))
-
-
 @query("prj18_math", f"WITH {BARS} SELECT symbol, feed_id, ts, round(ln(close), 8) AS l, round(ln(1 + volume), 8) AS l1, round(exp(-close / 1e4), 8) AS e, round((exp(2 * least(5.0, close / open - 1)) - 1) / (exp(2 * least(5.0, close / open - 1)) + 1), 8) AS th, CAST(sign(close - open) AS DOUBLE) AS sg, greatest(-1.0, least(1.0, (close - open) * 10)) AS cl FROM bars")
 def prj18(spark, d):
     c, o = F.col("close"), F.col("open")
@@ -120,31 +109,11 @@ def flt06(spark, d):
     return table(spark, d, "screener_facts").where(F.col("financial_period").rlike(rf"^(?:(?:{months})\s+[0-9]{{4}}|TTM)$") & (F.lower(F.trim("metric_label")) != "raw pdf")).select("load_seq", "financial_period")
 
 
-_LISTINGS = """u AS (SELECT *, upper(trim(symbol)) AS s, CASE exchange WHEN 'NSE' THEN 0 ELSE 1 END AS pref FROM equity_universe)"""
-
-
-@query("ded01_listings", f"WITH {_LISTINGS} SELECT exchange, s AS symbol, min(isin) AS isin FROM u WHERE s <> '' GROUP BY ALL")
-def ded01(spark, d):
-    u = listings.normalised(universe(spark, d)).where("symbol <> ''")
-    return dedupe.keep_first(u, ["exchange", "symbol"], ["isin", "company_name", "series"]).select("exchange", "symbol", "isin")
-
-
-@query("ded04_srt06_series_rank", f"WITH {_LISTINGS} SELECT s AS symbol, arg_min(exchange, (pref, coalesce(series, '~'), isin)) AS exchange FROM u GROUP BY s")
-def ded04(spark, d):
-    u = listings.normalised(universe(spark, d)).withColumn("pref", F.when(F.col("exchange") == "NSE", 0).otherwise(1))
-    return dedupe.keep_first(u, ["symbol"], ["pref", F.coalesce("series", F.lit("~")), "isin"]).select("symbol", "exchange")
-
-
 @query("ded05_ordered_distinct", "SELECT symbol, min(load_seq) AS load_seq FROM hourly_feed WHERE trim(symbol) <> '' GROUP BY symbol")
 def ded05(spark, d):
     return dedupe.first_seen(table(spark, d, "hourly_feed"), "symbol", "load_seq")
 
 
-@query("ded07_case_blind_names", "SELECT lower(trim(company_name)) AS key, count(*) AS n, min(isin) AS isin FROM equity_universe GROUP BY 1")
-def ded07(spark, d):
-    return universe(spark, d).groupBy(F.lower(F.trim("company_name")).alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min("isin").alias("isin"))
-
-
 def pairs(spark, d, limit: int | None = None):
     p = listings.normalised(universe(spark, d)).select("exchange", "symbol").distinct().orderBy("exchange", "symbol")
     return p.limit(limit) if limit else p
@@ -199,9 +168,17 @@ def semi(spark, d):
     return table(spark, d, "gap_vector").join(table(spark, d, "features").where("is_weekend_gap = 1").select("symbol"), "symbol", "left_semi").select("event_id")
 
 
-@query("join11_anti", "SELECT DISTINCT symbol FROM documents d WHERE symbol IS NOT NULL AND NOT EXISTS (SELECT 1 FROM equity_universe u WHERE u.symbol = d.symbol)")
+@query("join11_anti", "SELECT DISTINCT symbol FROM equity_universe u WHERE NOT EXISTS (SELECT 1 FROM features f WHERE split_part(f.symbol, '.', 1) = u.symbol)")
 def anti(spark, d):
-    return table(spark, d, "documents").where("symbol IS NOT NULL").select("symbol").distinct().join(universe(spark, d).select("symbol"), "symbol", "left_anti")
+    """Listings that were asked for and have no bars."""
+    have = table(spark, d, "features").select(F.split_part("symbol", F.lit("."), F.lit(1)).alias("symbol"))
+    return universe(spark, d).select("symbol").distinct().join(have, "symbol", "left_anti")
+
+
+@query("prj17_isin_choice", "SELECT load_seq, coalesce(nullif(nullif(trim(isin), ''), '-'), 'D' || scheme_code) AS isin FROM nav_history")
+def prj17(spark, d):
+    """The growth ISIN, else the other one; blanks and dashes are none."""
+    return table(spark, d, "nav_history").select("load_seq", m.first_filled(F.col("isin"), F.concat(F.lit("D"), F.col("scheme_code").cast("string"))).alias("isin"))
 
 
 @query("join12_isin_dimension", "SELECT n.load_seq, d.scheme_code AS by_isin FROM nav_history n JOIN (SELECT isin, arg_max(scheme_code, load_seq) AS scheme_code FROM nav_history WHERE isin <> '' GROUP BY isin) d ON n.isin = d.isin")
@@ -218,20 +195,6 @@ def asof_feature(spark, d):
     return asof.backward(bars(spark, d).select(*KEY), f, "ts", "ft", ["symbol", "feed_id"], ["fclose"], default=0.0)
 
 
-@query("join09_existing_sets", "SELECT symbol, list_sort(list(DISTINCT lang)) AS langs, count(*) AS n FROM documents WHERE symbol IS NOT NULL AND lang IS NOT NULL GROUP BY symbol")
-def existing_sets(spark, d):
-    docs = table(spark, d, "documents").where("symbol IS NOT NULL AND lang IS NOT NULL")
-    old = docs.where("doc_id % 2 = 0").groupBy("symbol").agg(F.collect_set("lang").alias("o"), F.count(F.lit(1)).alias("a"))
-    new = docs.where("doc_id % 2 = 1").groupBy("symbol").agg(F.collect_set("lang").alias("n"), F.count(F.lit(1)).alias("b"))
-    none = F.array().cast("array<string>")
-    return old.join(new, "symbol", "full").select("symbol", F.array_sort(F.array_union(F.coalesce("o", none), F.coalesce("n", none))).alias("langs"), (F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))).alias("n"))
-
-
-@query("agg10_collapse_last_filled", "SELECT symbol, arg_max(lang, doc_id) FILTER (lang <> '') AS lang, list_sort(list(DISTINCT source)) AS sources FROM documents GROUP BY symbol")
-def collapse(spark, d):
-    return lake.collapse(table(spark, d, "documents"), ["symbol"], "doc_id", last=["lang"], sets={"source": "sources"})
-
-
 @query("agg11_load_counters", "SELECT source, count(*) AS n_rows, count(*) FILTER (nav IS NULL OR NOT isfinite(nav)) AS n_missing, count(*) FILTER (nav <= 0) AS n_bad, count(*) FILTER (isfinite(nav) AND nav > 0) AS n_ok FROM nav_history GROUP BY source")
 def counters(spark, d):
     n = table(spark, d, "nav_history").withColumn("x", m.finite(F.col("nav"))).withColumn("neg", (F.col("nav") <= 0) & ~F.isnan("nav"))
@@ -252,30 +215,11 @@ def nav_lines(spark, d):
     return nav_text.parse_lines(n.select("load_seq", line.alias("value")), keep=["load_seq"]).select("load_seq", "scheme_code", "isin", "scheme_name", "nav", "nav_date")
 
 
-@query("nst02_metric_pivot", f"SELECT symbol, p AS financial_period, round(max(v) FILTER (k = 'promoters'), 4) AS promoters_pct, round(max(v) FILTER (k = 'public'), 4) AS public_pct FROM (SELECT symbol, p, k, {_FIG.format('t')} AS v FROM (SELECT symbol, financial_period AS p, lower(trim(replace(metric_label, '+', ''))) AS k, trim(translate(metric_text, ',%', '')) AS t FROM screener_facts WHERE table_name = 'shareholding_yearly' AND regexp_full_match(financial_period, '[A-Z][a-z][a-z] [0-9]{{4}}'))) GROUP BY ALL HAVING promoters_pct IS NOT NULL OR public_pct IS NOT NULL")
-def pivot(spark, d):
-    f = table(spark, d, "screener_facts").where("table_name = 'shareholding_yearly'").where(F.col("financial_period").rlike("^[A-Z][a-z][a-z] [0-9]{4}$"))
-    long = f.select("symbol", "financial_period", F.lower(m.strip(F.replace("metric_label", F.lit("+"), F.lit("")))).alias("k"), m.figure(F.col("metric_text")).alias("v")).where("v IS NOT NULL")
-    p = long.groupBy("symbol", "financial_period").pivot("k", ["promoters", "public"]).agg(F.round(F.max("v"), 4))
-    return p.withColumnsRenamed({"promoters": "promoters_pct", "public": "public_pct"}).where("promoters_pct IS NOT NULL OR public_pct IS NOT NULL")
-
-
-@query("nst04_metric_synonyms", "SELECT load_seq, CASE lower(trim(metric_label)) WHEN 'revenue' THEN 'sales' WHEN 'borrowing' THEN 'borrowings' ELSE lower(trim(metric_label)) END AS metric FROM screener_facts WHERE lower(trim(metric_label)) IN ('revenue', 'sales', 'borrowing', 'borrowings')")
-def synonyms(spark, d):
-    k = F.lower(m.strip(F.col("metric_label")))
-    return table(spark, d, "screener_facts").where(k.isin("revenue", "sales", "borrowing", "borrowings")).select("load_seq", F.coalesce(m.lookup(k, {"revenue": "sales", "borrowing": "borrowings"}), k).alias("metric"))
-
-
 @query("nst09_posexplode", "SELECT vec_id, CAST(i - 1 AS INTEGER) AS horizon, round(CAST(embedding[i] AS DOUBLE), 6) AS value FROM embeddings, unnest(generate_series(1, len(embedding))) AS t(i)")
 def posexplode(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("horizon", "value")).select("vec_id", "horizon", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
-@query("nst10_json_payload", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
-def json_payload(spark, d):
-    return table(spark, d, "events").select("event_id", F.from_json("props", "k long").getField("k").alias("k"))
-
-
 @query("snk03_join10_upsert", "SELECT load_seq, scheme_code, nav_date, nav FROM nav_history QUALIFY row_number() OVER (PARTITION BY scheme_code, nav_date ORDER BY load_seq % 2 DESC, load_seq DESC) = 1")
 def upsert(spark, d):
     n = table(spark, d, "nav_history").select("load_seq", "scheme_code", "nav_date", "nav")

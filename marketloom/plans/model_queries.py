@@ -42,19 +42,39 @@ def origin_row(spark, d):
     return forecast.prepend_origin(paths(spark, d), SRC).select(*SRC, "horizon", F.round("predicted_price", 5).alias("predicted_price"), "actual_price")
 
 
-_BANDS = f"""WITH {_PATHS}, resid AS (SELECT horizon, origin_log_return - ln(actual_price / origin_price) AS e FROM paths),
-bands AS (SELECT horizon, avg(e) AS bias, avg(e) - quantile_cont(e, 0.9::DOUBLE) AS q10, avg(e) - quantile_cont(e, 0.1::DOUBLE) AS q90 FROM resid GROUP BY horizon)"""
+#: Blocks of 24 bars before the last one from which bands are made.
+BLOCKS = 30
+_BANDS = f"""{BARS.replace("open, close, volume FROM", "open, close, volume, CASE WHEN isfinite(next_hour_return) THEN next_hour_return ELSE 0.0 END AS r FROM")},
+tail AS (SELECT *, row_number() OVER (PARTITION BY symbol, feed_id ORDER BY ts DESC) AS back FROM bars),
+o AS (SELECT symbol, feed_id, (back - 25) // 24 AS block, close AS origin_price FROM tail WHERE back > 24 AND back % 24 = 1),
+raw AS (SELECT symbol, feed_id, block, CAST(24 - (back - 1) % 24 AS INTEGER) AS horizon, r, close AS actual_price, origin_price FROM (SELECT *, (back - 1) // 24 AS block FROM tail) JOIN o USING (symbol, feed_id, block) WHERE block <= {BLOCKS}),
+paths AS (SELECT *, sum(r) OVER (PARTITION BY symbol, feed_id, block ORDER BY horizon) AS origin_log_return FROM raw),
+bands AS (SELECT symbol, feed_id, horizon, avg(e) AS bias, avg(e) - quantile_cont(e, 0.9::DOUBLE) AS q10, avg(e) - quantile_cont(e, 0.1::DOUBLE) AS q90
+  FROM (SELECT *, origin_log_return - ln(actual_price / origin_price) AS e FROM paths WHERE block > 0) GROUP BY ALL)"""
+
+
+def blocks(spark, d):
+    """The stored next-hour forecasts read as paths of 24 bars: block 0 is the last one, each earlier block a path of its own."""
+    r = chunks.ranked(series.clean_bars(table(spark, d, "hourly_prices"), carry=["next_hour_return"]), SRC)
+    t = r.withColumn("back", F.col("n") - F.col("i")).where(F.col("back") <= 24 * (BLOCKS + 1) + 1)
+    o = t.where("back > 24 AND back % 24 = 1").select(*SRC, F.expr("(back - 25) DIV 24").alias("block"), F.col("close").alias("origin_price"))
+    raw = t.withColumn("block", F.expr("(back - 1) DIV 24")).join(o, [*SRC, "block"])
+    raw = raw.select(*SRC, "block", (24 - (F.col("back") - 1) % 24).cast("int").alias("horizon"), forecast.finite_or_zero(F.col("next_hour_return")).alias("predicted_log_return"), F.col("close").alias("actual_price"), "origin_price")
+    return forecast.reconstruct(raw, [*SRC, "block"])
 
 
-@query("agg04_05_mdl13_bands", f"{_BANDS} SELECT horizon, round(bias, 7) AS bias, round(q10, 7) AS q10, round(q90, 7) AS q90 FROM bands")
+@query("agg04_05_mdl12_13_bands", f"WITH {_BANDS} SELECT symbol, feed_id, horizon, round(bias, 7) AS bias, round(q10, 7) AS q10, round(q90, 7) AS q90 FROM bands")
 def bands(spark, d):
-    return forecast.calibrate(forecast.residuals(paths(spark, d)), []).select("horizon", _r("bias"), _r("q10"), _r("q90"))
+    """Each source's bias and band of each horizon, by how its earlier blocks came out."""
+    return forecast.calibrate(forecast.residuals(blocks(spark, d).where("block > 0")), SRC).select(*SRC, "horizon", _r("bias"), _r("q10"), _r("q90"))
 
 
-@query("mdl10_calibrated_path", f"{_BANDS} SELECT symbol, feed_id, horizon, round(origin_price * exp(origin_log_return - bias), 4) AS predicted_price, round(origin_price * exp(origin_log_return - bias + q10), 4) AS price_q10, round(origin_price * exp(origin_log_return - bias + q90), 4) AS price_q90 FROM paths JOIN bands USING (horizon)")
+@query("mdl10_calibrated_path", f"WITH {_BANDS} SELECT symbol, feed_id, horizon, round(origin_price * exp(origin_log_return - coalesce(bias, 0)), 4) AS predicted_price, round(origin_price * exp(origin_log_return - bias + q10), 4) AS price_q10, round(origin_price * exp(origin_log_return - bias + q90), 4) AS price_q90 FROM paths LEFT JOIN bands USING (symbol, feed_id, horizon) WHERE block = 0")
 def calibrated(spark, d):
-    p = paths(spark, d)
-    out = forecast.apply_calibration(p, forecast.calibrate(forecast.residuals(p), []), [])
+    """The last block, shifted and banded by the blocks before it: no block has a say in its own band."""
+    p = blocks(spark, d)
+    known = forecast.calibrate(forecast.residuals(p.where("block > 0")), SRC)
+    out = forecast.apply_calibration(p.where("block = 0"), known, SRC)
     return out.select(*SRC, "horizon", _r("predicted_price", 4), _r("price_q10", 4), _r("price_q90", 4))
 
 

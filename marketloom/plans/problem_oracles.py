@@ -36,6 +36,13 @@ _NAV_DAY = """coalesce(
   CAST(try_strptime(d, ['%d-%m-%Y', '%d/%m/%Y', '%d-%b-%Y', '%d %b %Y', '%d %B %Y']) AS DATE),
   CASE WHEN regexp_full_match(d, '[0-9]{8}') THEN CAST(try_strptime(d, '%Y%m%d') AS DATE) END)"""
 
+P1_KINDS = """
+WITH r AS (SELECT feed_id, file_no, payload, unnest(json_keys(payload)) AS field FROM screener_files WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'),
+k AS (SELECT feed_id, file_no, field, json_type(payload, '$."' || field || '"') AS t FROM r)
+SELECT feed_id, file_no, field, CASE t WHEN 'VARCHAR' THEN 'text' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'list' WHEN 'BOOLEAN' THEN 'boolean' ELSE 'number' END AS kind, count(*) AS n
+FROM k WHERE t <> 'NULL' GROUP BY ALL"""
+P2_NAV_DATES = f"SELECT load_seq, strftime({_NAV_DAY}, '%Y-%m-%d') AS day FROM (SELECT load_seq, trim(nav_date) AS d FROM nav_history)"
+
 P3_FOUND = (
     f"WITH nav_history AS (SELECT load_seq, scheme_code, nav, {_NAV_DAY} AS day FROM (SELECT load_seq, scheme_code, nav, trim(nav_date) AS d FROM nav_history))\n"
     + "\nUNION ALL\n".join([

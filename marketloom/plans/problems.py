@@ -25,6 +25,17 @@ def p1_unions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.unions(table(spark, sf_dir, "screener_files"))
 
 
+def p1_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each field of each file holds each JSON kind: the tagged unions before anything is fused."""
+    return drift.kind_counts(table(spark, sf_dir, "screener_files"))
+
+
+def p2_nav_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every NAV row with its Indian calendar date (null where it is unreadable)."""
+    nav = table(spark, sf_dir, "nav_history").select("load_seq", "nav_date")
+    return stamps.normalise(nav, "nav_date", "norm", dates=True).select("load_seq", F.col("norm").alias("day"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = table(spark, sf_dir, "hourly_feed").select("load_seq", F.col("timestamp").alias("raw"), "feed_zone")
     nav = table(spark, sf_dir, "nav_history").select("load_seq", F.col("nav_date").alias("raw"))
