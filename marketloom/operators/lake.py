@@ -64,13 +64,6 @@ def merged(old: DataFrame, new: DataFrame, keys: list[str], order: list[str], pa
     return o.join(n, same("o", "n"), "left_anti").unionByName(fresh)
 
 
-def collapse(df: DataFrame, keys: list[str], seq: str, last: list[str], sets: dict[str, str]) -> DataFrame:
-    """One row per key: the last non-empty value of each ``last`` column and sorted sets of others."""
-    filled = lambda c: F.when(F.col(c) != "", F.col(seq))
-    aggs = [F.max_by(c, filled(c)).alias(c) for c in last] + [F.array_sort(F.collect_set(c)).alias(name) for c, name in sets.items()]
-    return df.groupBy(*keys).agg(*aggs)
-
-
 class Lake:
     """Versioned Parquet tables under a root folder that all executors share; one writer a table at a time."""
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.operators.lake import Lake, TableSpec
 from marketloom.plans.registry import query
-from marketloom.session import checkpoint_dir, table
+from marketloom.session import table, work_dir
 from marketloom.streaming.upserts import ingest
 
 NAV = TableSpec(
@@ -22,7 +20,7 @@ NAV = TableSpec(
 
 @query("stream_snk03_nav_upsert", "SELECT scheme_code, nav_date, CASE WHEN isfinite(nav) THEN nav END AS nav, source FROM nav_history QUALIFY row_number() OVER (PARTITION BY scheme_code, nav_date ORDER BY load_seq DESC) = 1")
 def nav_upsert(spark, d):
-    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = work_dir(spark, "stream")
     rows = table(spark, d, "nav_history").select("load_seq", "scheme_code", "nav_date", F.col("nav"), "source")
     # a pattern, since a stream takes a single file only by one
     return ingest(spark, f"{d}/nav_history.parque[t]", rows.schema, Lake(spark, f"{root}/lake"), NAV, f"{root}/checkpoint", ["load_seq"])

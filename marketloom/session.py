@@ -18,6 +18,7 @@ def build_session(app: str = "marketloom", cores: str | int = "*", **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("MARKETLOOM_DRIVER_MEMORY", "8g"))
     )
     for k, v in conf.items():
