@@ -66,3 +66,26 @@ def test_lists_objects_and_booleans_are_kept_whole(spark):
         i = r["row_no"]
         assert r["figures"] == {"one": 2.5, "crore": 3.5, "flag": float(i > 2)} and r["texts"] == {} and r["truths"] == {"flag": i > 2}
         assert {k: json.loads(v) for k, v in r["nested"].items()} == {"several": [1.5, i], "one": [2.5], "crore": {"amount": 3.5, "unit": "cr"}, "lakh": {"amount": 4.5, "unit": "lakh"}, "deep": {"a": {"b": [i]}}, "gap": [7, None]}
+
+
+def test_a_chain_of_renames_keeps_its_first_name_and_the_plan_stays_small(spark):
+    n = 20
+    value = lambda i: i * 3 + 0.5
+    spec = {f: rows(**{f"sales{f}": value, "still": lambda i: i * 11 + 0.25}) for f in range(1, n + 1)}
+    df = files(spark, spec)
+    _, k, renamed = drift.infer(df)
+    assert renamed.count() == n - 1
+    origin = drift.lineage(k, renamed)
+    got = {(r.file_no, r.field): r.origin for r in origin.collect()}
+    assert all(got[f, f"sales{f}"] == "sales1" and got[f, "still"] == "still" for f in range(1, n + 1))
+    assert origin._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 4
+    # a field that comes back after a gap begins anew
+    spec = {1: rows(a=value), 2: rows(), 3: rows(a=value)}
+    _, k, renamed = drift.infer(files(spark, spec))
+    assert {(r.file_no, r.field, r.origin) for r in drift.lineage(k, renamed).where("field = 'a'").collect()} == {(1, "a", "a"), (3, "a", "a")}
+
+
+def test_kind_counts(spark):
+    spec = {1: rows(a=lambda i: [1, "x", True, None, {"b": 1}, [2]][i])}
+    got = {(r.field, r.kind): r.n for r in drift.kind_counts(files(spark, spec)).collect()}
+    assert {k for f, k in got if f == "a"} == {"number", "text", "boolean", "object", "list"} and got["symbol", "text"] == 6

@@ -54,6 +54,22 @@ def test_asof_backward(spark):
     assert strict["x", 1] is None
 
 
+def test_asof_backward_across_stretches(spark):
+    r = random.Random(8)
+    left = [(r.choice(["x", "y", None]), r.choice([None, *range(100)]), i) for i in range(300)]
+    right = [(k, t, r.choice([None, float(t)])) for k in ("x", None) for t in r.sample(range(-40, 100), 40)]
+    l, rt = spark.createDataFrame(left, "k string, t long, id long"), spark.createDataFrame(right, "k string, rt long, v double")
+    for strict in (False, True):
+        want = {}
+        for k, t, i in left:
+            c = [(a, v) for j, a, v in right if j == k and v is not None and t is not None and (a < t or (a == t and not strict))]
+            want[i] = max(c)[1] if c else None
+        for width in (7, 1000):
+            assert {x["id"]: x["v"] for x in asof.backward(l, rt, "t", "rt", ["k"], ["v"], strict=strict, width=width).collect()} == want
+    assert asof.backward(l.limit(0), rt, "t", "rt", ["k"], ["v"]).collect() == []
+    assert {x["v"] for x in asof.backward(l, rt.limit(0), "t", "rt", ["k"], ["v"]).collect()} == {None}
+
+
 SCHEMA = "symbol string, feed_id long, ts timestamp, m double, ingested_at timestamp, load_seq long, day string"
 
 
