@@ -94,9 +94,20 @@ def zone_data_version() -> str:
     return "unknown"
 
 
+#: The end of zone tables (the year 2500), and the seconds in 400 years.
+_ZONES_END, _CYCLE = 16_725_225_600, 146_097 * 86_400
+
+
+def _repeated(seconds: np.ndarray) -> np.ndarray:
+    return seconds - np.maximum(-(-(seconds - _ZONES_END + 1) // _CYCLE), 0) * _CYCLE
+
+
 @lru_cache(maxsize=1024)
 def zone_table(name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """(transition instants, wall thresholds, offsets) in seconds from 1900 to 2100; None for no such zone.
+    """(transition instants, wall thresholds, offsets) in seconds from 1900 to 2500; None for no such zone.
+
+    Times after 2500 are read in the year 400 years (or a multiple) before, as the calendar and with
+    it the last rule of every zone repeats; times before 1900 take the first offset.
 
     ``offsets[i]`` holds from transition ``i - 1`` on. A wall reading uses the offset after a
     change only from ``instant + max(before, after)`` on, so readings that occur twice or were
@@ -111,7 +122,7 @@ def zone_table(name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         at = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=s)
         return int(zone.utcoffset(at.astimezone(zone)).total_seconds())
 
-    step, lo, end = 7 * 86400, -2_208_988_800, 4_102_444_800
+    step, lo, end = 7 * 86400, -2_208_988_800, _ZONES_END
     at, offsets, before = [], [offset(lo)], offset(lo)
     for a in range(lo, end, step):
         b = a + step
@@ -133,12 +144,12 @@ def wall_to_utc(wall_us: np.ndarray, name: str) -> tuple[np.ndarray, bool]:
     if found is None:
         return wall_us, False
     _, walls, offsets = found
-    return wall_us - offsets[np.searchsorted(walls, wall_us // 1_000_000, side="right")] * 1_000_000, True
+    return wall_us - offsets[np.searchsorted(walls, _repeated(wall_us // 1_000_000), side="right")] * 1_000_000, True
 
 
 def utc_to_wall(utc_us: np.ndarray, name: str) -> np.ndarray:
     instants, _, offsets = zone_table(name)
-    return utc_us + offsets[np.searchsorted(instants, utc_us // 1_000_000, side="right")] * 1_000_000
+    return utc_us + offsets[np.searchsorted(instants, _repeated(utc_us // 1_000_000), side="right")] * 1_000_000
 
 
 def _number(codes: np.ndarray, span: tuple[int, int]) -> np.ndarray:

@@ -3,6 +3,7 @@ import zoneinfo
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import numpy as np
 import pyarrow as pa
 
 from marketloom.operators import stamps
@@ -58,3 +59,14 @@ def test_zone_tables_agree_with_the_zone_data(wall, name):
     want = wall.replace(tzinfo=zone, fold=0).astimezone(dt.timezone.utc)
     values, ok = stamps.parse_batch(pa.array([wall.strftime("%Y-%m-%d %H:%M:%S")]), pa.array([name]), False)
     assert ok[0] and values[0] == int(want.timestamp()) * 1_000_000
+
+
+def test_zones_beyond_the_tables():
+    for year in (2099, 2101, 2450, 2499, 2500, 2504, 2900, 2999, 9000):
+        for month in (1, 7):
+            for name in ("America/New_York", "Europe/Berlin", "Asia/Kolkata"):
+                wall = dt.datetime(year, month, 1, 12)
+                us = (wall - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+                want = us - int(wall.replace(tzinfo=zoneinfo.ZoneInfo(name)).utcoffset().total_seconds()) * 1_000_000
+                got, _ = stamps.wall_to_utc(np.array([us]), name)
+                assert got[0] == want and stamps.utc_to_wall(got, name)[0] == us, (year, month, name)
