@@ -25,7 +25,7 @@ def build(bars: DataFrame, nifty: DataFrame | None = None, source: list[str] = s
     ``nifty`` is (source..., ts, nifty_log_return), as joined as-of beforehand; without it the
     column is 0. The first bar stays, with a return of 0.
     """
-    marked = series.session_gaps(series.session_masks(bars, source), source)
+    marked = series.session_gaps(bars, source)
     sized = marked.join(series.bars_per_day(bars, source), source).withColumn("rsi_length", F.col("bars") * 14)
     if nifty is not None:
         sized = sized.join(nifty, [*source, "ts"], "left")

@@ -26,40 +26,56 @@ def log_return(price: Column, w: WindowSpec, lag: int = 1) -> Column:
     return F.ln(price) - F.lag(F.ln(price), lag).over(w)
 
 
-def session_masks(bars: DataFrame, source: list[str] = SOURCE) -> DataFrame:
-    """bars with day, is_open, is_close and hours_since; the last bar always closes a session."""
-    w = in_time(source)
+def _sessions(bars: DataFrame, source: list[str]) -> DataFrame:
+    """bars with the columns of ``session_gaps``.
+
+    A session is a source's bars of one exchange day, and everything that comes from earlier bars
+    comes from earlier sessions' first and last bars. So bars are ordered within their day only,
+    and what runs over a source is one row per day.
+    """
+    days = [*source, "day"]
     d = bars.withColumn("day", exchange_date(F.col("ts")))
-    gap = (F.unix_micros("ts") - F.lag(F.unix_micros("ts")).over(w)) / 3.6e9
-    return d.select(
-        "*",
-        F.coalesce(F.col("day") != F.lag("day").over(w), F.lit(True)).alias("is_open"),
-        F.coalesce(F.col("day") != F.lead("day").over(w), F.lit(True)).alias("is_close"),
-        F.coalesce(gap, F.lit(1.0)).alias("hours_since"),
+    ends = d.groupBy(*days).agg(F.max("ts").alias("_last"), F.max_by("close", "ts").alias("_close"), F.ln(F.min_by("open", "ts")).alias("_open"))
+    w = Window.partitionBy(*source).orderBy("day")
+    ends = ends.select(*days, F.lag("_last").over(w).alias("_at"), F.lag("_close").over(w).alias("_pc"), "_open", "_close")
+    ends = ends.withColumn("_gap", F.col("_open") - F.ln("_pc")).withColumn("_dr", F.ln(F.try_divide("_close", "_pc")))
+    ends = ends.select(*days, "_at", "_gap", before(F.nullif(F.col("_gap"), F.lit(0.0)), w).alias("_gap_before"), before(F.col("_dr"), w).alias("prev_day_return"))
+    inside = Window.partitionBy(*days).orderBy("ts")
+    marked = d.select("*", F.lag("ts").over(inside).alias("_prev"), F.lead("ts").over(inside).isNull().alias("is_close"))
+    on = [F.col(f"m.{c}").eqNullSafe(F.col(f"e.{c}")) for c in days]
+    is_open = F.col("_prev").isNull()
+    hours = F.coalesce((F.unix_micros("ts") - F.unix_micros(F.coalesce("_prev", "_at"))) / 3.6e9, F.lit(1.0))
+    rows = marked.alias("m").join(ends.alias("e"), on).select("m.*", "_at", "_gap", "_gap_before", "prev_day_return").withColumns({"is_open": is_open, "hours_since": hours})
+    own = F.nullif(F.col("_gap"), F.lit(0.0))
+    return rows.select(
+        *bars.columns,
+        "day",
+        "is_open",
+        "is_close",
+        "hours_since",
+        F.when(F.col("is_open"), F.col("_gap")).otherwise(F.lit(0.0)).alias("gap"),
+        F.when(F.col("is_open"), F.col("_gap_before")).otherwise(F.coalesce(own, "_gap_before")).alias("last_gap"),
+        "prev_day_return",
+        ((F.col("hours_since") >= 40) & F.col("is_open")).cast("double").alias("is_weekend_gap"),
     )
 
 
-def before(x: Column, w: WindowSpec) -> Column:
-    """The last non-null value strictly before the row."""
-    return F.last(x, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+def session_masks(bars: DataFrame, source: list[str] = SOURCE) -> DataFrame:
+    """bars with day, is_open, is_close and hours_since; the last bar always closes a session."""
+    return _sessions(bars, source).select(*bars.columns, "day", "is_open", "is_close", "hours_since")
 
 
-def session_gaps(masked: DataFrame, source: list[str] = SOURCE) -> DataFrame:
-    """masked bars with gap (0 inside a session), last_gap, prev_day_return and is_weekend_gap.
+def session_gaps(bars: DataFrame, source: list[str] = SOURCE) -> DataFrame:
+    """bars with the masks, and gap (0 inside a session), last_gap, prev_day_return and is_weekend_gap.
 
     A gap of exactly zero counts as missing, so the gap before it carries on.
     """
-    w = in_time(source)
-    closes = F.when(F.col("is_close"), F.col("close"))
-    one = masked.withColumn("_pc", before(closes, w))
-    two = one.withColumn("gap", F.when(F.col("is_open"), F.ln("open") - F.ln("_pc")).otherwise(F.lit(0.0))).withColumn("_dr", F.when(F.col("is_close"), F.ln(F.try_divide("close", "_pc"))))
-    return two.select(
-        *masked.columns,
-        "gap",
-        before(F.nullif(F.col("gap"), F.lit(0.0)), w).alias("last_gap"),
-        before(F.col("_dr"), w).alias("prev_day_return"),
-        ((F.col("hours_since") >= 40) & F.col("is_open")).cast("double").alias("is_weekend_gap"),
-    )
+    return _sessions(bars, source)
+
+
+def before(x: Column, w: WindowSpec) -> Column:
+    """The last non-null value strictly before the row."""
+    return F.last(x, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
 
 
 def bars_per_day(bars: DataFrame, source: list[str] = SOURCE) -> DataFrame:

@@ -83,7 +83,7 @@ SELECT symbol, feed_id, ts, round(gap, 8) AS gap,
 FROM b WINDOW w AS ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
 )
 def gaps(spark, d):
-    g = series.session_gaps(series.session_masks(bars(spark, d)))
+    g = series.session_gaps(bars(spark, d))
     return g.select(*KEY, r8(F.col("gap"), "gap"), r8(F.col("last_gap"), "last_gap"), r8(F.col("prev_day_return"), "prev_day_return"), "is_weekend_gap")
 
 
@@ -172,8 +172,8 @@ def asof_daily(spark, d):
 
 @query("join07_previous_bar", f"WITH {BARS}, {MASKS} SELECT symbol, feed_id, ts, round(ln(open / pc), 8) AS target FROM (SELECT *, lag(close) OVER ({W}) AS pc FROM masks) WHERE is_open AND pc IS NOT NULL")
 def previous_bar(spark, d):
-    m = series.session_masks(bars(spark, d)).withColumn("pc", F.lag("close").over(series.in_time()))
-    return m.where("is_open AND pc IS NOT NULL").select(*KEY, r8(F.ln(F.col("open") / F.col("pc")), "target"))
+    g = series.session_gaps(bars(spark, d))
+    return g.where("is_open AND gap IS NOT NULL").select(*KEY, r8(F.col("gap"), "target"))
 
 
 @query("join04_left_lookup", f"""WITH {BARS}, f AS (SELECT symbol, feed_id, timestamp AS ts, ret_5d, vol_5d FROM features QUALIFY row_number() OVER (PARTITION BY symbol, feed_id, timestamp ORDER BY load_seq DESC) = 1)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 import __spark_entry__
 from marketloom.functions import market as m
-from marketloom.operators import forecast, gap_model, lake
+from marketloom.operators import forecast, gap_model, lake, series
 from marketloom.sources import nav_text, pages
 
 COMPANY = """<section id="quarters"><table><tr><th></th><th>Mar 2024</th><th>Notes</th><th>TTM</th></tr>
@@ -161,3 +161,38 @@ def test_append_writes_new_rows_only_and_compaction_drops_orphans(spark, tmp_pat
 def test_entry_points_agree():
     q, o = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert set(o) <= set(q) and {f"p{n}_found" for n in (1, 2, 3, 4, 5, 6)} <= set(q)
+
+
+def test_sessions_come_from_their_days_ends(spark):
+    """Bar by bar against a plain walk: masks, hours, gaps that carry over a zero gap, daily returns."""
+    r = np.random.default_rng(2)
+    rows = []
+    for s in ("a", None):
+        price, t = 100.0, dt.datetime(2024, 1, 1, 4)
+        for day in range(12):
+            for h in range(1 + day % 3):
+                o = price if (h == 0 and day in (4, 5)) else price * float(np.exp(r.normal(0, 0.01)))
+                price = o * float(np.exp(r.normal(0, 0.01)))
+                rows.append((s, 1, t + dt.timedelta(days=day * (3 if day == 7 else 1), hours=h), o, price))
+    df = spark.createDataFrame(rows, "symbol string, feed_id long, ts timestamp, open double, close double")
+    got = {(x.symbol, x.ts): x for x in series.session_gaps(df).collect()}
+    assert len(got) == len(rows)
+    for s in ("a", None):
+        mine = sorted((x for x in rows if x[0] == s), key=lambda x: x[2])
+        pc = gap = last_gap = dr = last_dr = None
+        for i, (_, _, ts, o, c) in enumerate(mine):
+            day = lambda x: (x[2] + dt.timedelta(hours=5, minutes=30)).date()
+            opens = i == 0 or day(mine[i - 1]) != day(mine[i])
+            closes = i + 1 == len(mine) or day(mine[i + 1]) != day(mine[i])
+            hours = (ts - mine[i - 1][2]).total_seconds() / 3600 if i else 1.0
+            gap = (np.log(o / pc) if pc else None) if opens else 0.0
+            x = got[s, ts]
+            near = lambda p, q: (p is None) == (q is None) and (p is None or abs(p - q) < 1e-12)
+            assert (x.is_open, x.is_close) == (opens, closes) and near(x.hours_since, hours) and near(x.gap, gap)
+            assert near(x.last_gap, last_gap) and near(x.prev_day_return, last_dr) and x.is_weekend_gap == float(hours >= 40 and opens)
+            if gap is not None and abs(gap) > 1e-15:
+                last_gap = gap
+            if closes:
+                dr = np.log(c / pc) if pc else None
+                last_dr = dr if dr is not None else last_dr
+                pc = c
