@@ -109,27 +109,34 @@ class DailyState:
         span = (
             came.alias("c").join(before.alias("b"), _same("c", "b", src), "left")
             .select(*(F.col(f"c.{c}") for c in src), F.col("b.first").alias("was_first"), F.col("b.last").alias("was_last"),
-                    F.least("c.first", "b.first").alias("first"), F.greatest("c.last", "b.last").alias("last"))
+                    F.least("c.first", "b.first").alias("first"), F.greatest("c.last", "b.last").alias("last"), F.lit(True).alias("touched"))
         )
         if self.version:
             kept = before.alias("b").join(came.alias("c"), _same("b", "c", src), "left_anti")
-            span = span.unionByName(kept.select(*src, F.lit(None).cast("int").alias("was_first"), F.lit(None).cast("int").alias("was_last"), "first", "last"))
+            span = span.unionByName(kept.select(*src, F.lit(None).cast("int").alias("was_first"), F.lit(None).cast("int").alias("was_last"), "first", "last", F.lit(False).alias("touched")))
         edge = f"{self.path}/sources/{version:06d}"
         span.write.parquet(edge)
         span = self.spark.read.parquet(edge)
 
-        # intervals of affected dates, merged into stretches
-        ends = span.where(F.col("was_first").isNotNull())
-        more = ends.where("was_last < last").select(*src, (F.col("was_last") + 1).alias("lo"), F.col("last").alias("hi")).unionByName(
-            ends.where("first < was_first").select(*src, F.col("first").alias("lo"), (F.col("was_first") - 1).alias("hi")))
-        fresh = changed.alias("c").join(span.alias("s"), _same("c", "s", src))
-        hit = fresh.select(*(F.col(f"c.{c}") for c in src), F.col("day").alias("lo"), F.least(F.col("day") + (reach - 1), F.col("last")).alias("hi"))
-        # where there was no source before, its whole calendar is new
-        whole = fresh.where("was_first IS NULL").select(*(F.col(f"c.{c}") for c in src), F.col("first").alias("lo"), F.col("last").alias("hi")).distinct()
+        # intervals of affected dates, merged into stretches: the windows of changed days, and new dates
+        here = span.where("touched")
+        interval = lambda rows, lo, hi: rows.select(*src, lo.alias("lo"), hi.alias("hi"))
+        first, last, was_first, was_last = (F.col(c) for c in ("first", "last", "was_first", "was_last"))
+        spans = (
+            interval(changed, F.col("day"), F.col("day") + (reach - 1))
+            .unionByName(interval(here.where("was_first IS NULL"), first, last))
+            .unionByName(interval(here.where("was_last < last"), was_last + 1, last))
+            .unionByName(interval(here.where("first < was_first"), first, was_first - 1))
+        )
         w = Window.partitionBy(*src).orderBy("lo", "hi")
-        spans = hit.unionByName(more).unionByName(whole).withColumn("_upto", F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+        spans = spans.withColumn("_upto", F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
         starts = F.when(F.col("_upto").isNull() | (F.col("lo") > F.col("_upto") + 1), F.col("lo"))
         stretch = spans.withColumn("start", F.last(starts, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy(*src, "start").agg(F.max("hi").alias("stop"))
+        # windows end with the calendar
+        stretch = stretch.alias("x").join(here.alias("h"), _same("x", "h", src)).select(*(F.col(f"x.{c}") for c in src), "start", F.least("stop", "last").alias("stop"))
+        if self.version:  # one row per stretch, read three times
+            stretch.write.parquet(f"{self.path}/stretches/{version:06d}")
+            stretch = self.spark.read.parquet(f"{self.path}/stretches/{version:06d}")
         dates = stretch.select(*src, "start", F.explode(F.sequence("start", "stop")).alias("day"))
 
         # what arrives and what expires on each date, and yesterday's totals at the start of each stretch
