@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketloom.functions.market import finite, finite_or_zero, label, signed_strength, stance
+from marketloom.operators import chunks
 from marketloom.operators.features import CONTEXT, HORIZON, MODEL_COLUMNS
 from marketloom.operators.series import SOURCE
 
@@ -29,33 +30,28 @@ def drift(windows: np.ndarray, horizon: int = HORIZON, reach: int = 120) -> np.n
     return np.repeat(windows[:, -reach:, 0].mean(1)[:, None], horizon, 1)
 
 
-def sliding(features: DataFrame, forecaster: Forecaster = drift, context: int = CONTEXT, origins: str = "all", source: list[str] = SOURCE, batch: int = 256) -> DataFrame:
-    """(source..., ts, returns): the forecast at every bar with a full context.
+def sliding(features: DataFrame, forecaster: Forecaster = drift, context: int = CONTEXT, origins: str = "all", source: list[str] = SOURCE, batch: int = 256, chunk: int = chunks.CHUNK) -> DataFrame:
+    """(source..., ts, returns): the forecast at every bar with a full context of features (with i and n).
 
     ``origins='last'`` takes the latest only; another name is that of a boolean column of the bars to forecast at.
+    Bars go in chunks with the context before them, so a source is many tasks.
     """
-    marked = [] if origins in ("all", "last") else [origins]
-
+    at = F.lit(True) if origins == "all" else F.col("i") == F.col("n") - 1 if origins == "last" else F.coalesce(F.col(origins), F.lit(False))
+    rows = features.select(*source, "ts", "i", "n", *MODEL_COLUMNS, (at & (F.col("i") + 1 >= context)).alias("_at"))
     schema = T.StructType([*(features.schema[c] for c in (*source, "ts")), T.StructField("returns", T.ArrayType(T.DoubleType()))])
 
-    def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by("ts")
-        if origins == "last":
-            t = t.slice(max(0, t.num_rows - context))
-        kept, out = t.slice(t.num_rows), np.zeros((0, 1))
-        if t.num_rows >= context:
+    def work(t: pa.Table) -> pa.Table:
+        home = t.column("i").to_numpy() // chunk == t.column("chunk").to_numpy()
+        asked = np.flatnonzero(t.column("_at").to_numpy().astype(bool) & home)
+        out = np.zeros((0, 1))
+        if len(asked):
             x = np.column_stack([t.column(c).to_numpy() for c in MODEL_COLUMNS]).astype(float)
             windows = np.lib.stride_tricks.sliding_window_view(x, context, axis=0).transpose(0, 2, 1)
-            at = np.arange(len(windows))
-            if marked:
-                at = np.flatnonzero(t.column(origins).to_numpy().astype(bool)[context - 1 :])
-            if len(at):
-                out = np.concatenate([forecaster(windows[at[i : i + batch]]) for i in range(0, len(at), batch)])
-                kept = t.take(pa.array(at + context - 1))
+            out = np.concatenate([forecaster(windows[asked[i : i + batch] - context + 1]) for i in range(0, len(asked), batch)])
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]), pa.array(out.ravel()))
-        return pa.Table.from_arrays([*kept.select([*source, "ts"]).columns, lists], names=schema.names)
+        return pa.Table.from_arrays([*t.select([*source, "ts"]).take(pa.array(asked, pa.int64())).columns, lists], names=schema.names)
 
-    return features.select(*source, "ts", *MODEL_COLUMNS, *marked).groupBy(*source).applyInArrow(run, schema)
+    return chunks.map_chunks(chunks.chunked(rows, F.lit(context - 1), chunk), source, work, schema)
 
 
 def steps(forecasts: DataFrame, keys: list[str]) -> DataFrame:

@@ -94,3 +94,19 @@ def test_empty_tables_and_one_chunk_at_a_time(spark):
     t = pa.table({"k": [None] * 3 + ["a"] * 4 + ["b"] * 2, "chunk": [0, 0, 1, 0, 0, 0, 1, 0, 0]})
     cut = [p.num_rows for p in chunks.by_chunk(t.to_batches(max_chunksize=2), ["k", "chunk"])]
     assert cut == [2, 1, 3, 1, 2]
+
+
+def test_sliding_contexts_are_whole_however_they_are_cut(spark):
+    from marketloom.operators import forecast
+    from marketloom.operators.features import MODEL_COLUMNS
+
+    df = chunks.ranked(bars(spark, SIZES), ["symbol"])
+    f = df.select("symbol", "ts", "i", "n", *((F.col("i") + j).cast("double").alias(c) for j, c in enumerate(MODEL_COLUMNS)), (F.col("i") % 5 == 0).alias("mark"))
+    seen = lambda w: np.stack([w[:, 0, 0], w[:, -1, 1], w.sum((1, 2))], 1)
+    for chunk in (4096, 16, 7):
+        for origins, keep in (("all", lambda i, n: True), ("last", lambda i, n: i == n - 1), ("mark", lambda i, n: i % 5 == 0)):
+            got = {(r.symbol, round(r.returns[0])): r.returns for r in forecast.sliding(f, seen, 12, origins, ["symbol"], batch=3, chunk=chunk).collect()}
+            want = {(s, i - 11) for s, n in SIZES.items() for i in range(11, n) if keep(i, n)}
+            assert set(got) == want
+            for (_, a), (first, last, total) in got.items():
+                assert (first, last, total) == (a, a + 12, sum(a + t + j for t in range(12) for j in range(len(MODEL_COLUMNS))))
