@@ -137,27 +137,28 @@ class DailyState:
         if self.version:  # one row per stretch, read three times
             stretch.write.parquet(f"{self.path}/stretches/{version:06d}")
             stretch = self.spark.read.parquet(f"{self.path}/stretches/{version:06d}")
-        dates = stretch.select(*src, "start", F.explode(F.sequence("start", "stop")).alias("day"))
+            needed = stretch.select(F.explode(F.sequence(_block(F.col("start") - (reach + 1)), _block(F.col("stop"))))).distinct()
+        # the dates of each stretch and those whose amounts expire in it, without gaps
+        dates = stretch.select(*src, "start", F.explode(F.sequence(F.col("start") - reach, F.col("stop"))).alias("day"))
 
-        # what arrives and what expires on each date, and yesterday's totals at the start of each stretch
-        needed = stretch.select(F.explode(F.sequence(_block(F.col("start") - (reach + 1)), _block(F.col("stop"))))).distinct()
         old = self.current(sorted(b for (b,) in needed.collect()) if self.version else None)  # as many as the calendar has
-        amounts = changed
+        amounts, yesterday = changed, None
         if self.version:
             still = old.alias("o").join(changed.alias("c"), _same("o", "c", [*src, "day"]), "left_anti")
             amounts = changed.unionByName(still.select(*src, "day", *self.amounts))
+            yesterday = stretch.alias("s").join(old.alias("o"), [*_same("s", "o", src), F.col("o.day") == F.col("s.start") - 1]).select(*(F.col(f"s.{c}") for c in src), "start", "day", *self.totals)
         zero = F.lit(0).cast("long")
-        at = lambda k: F.struct((F.col("day") + k).alias("day"), *(F.col(a).alias(a) if k == 0 else zero.alias(a) for a in self.amounts),
-                                *((F.col(a) if k == 0 else -F.col(a) if s == k else zero).alias(f"{a}_{s}") for a in self.amounts for s in self.spans))
-        moves = amounts.select(*src, F.explode(F.array(*(at(k) for k in (0, *self.spans)))).alias("_e")).select(*src, "_e.*")
-        if self.version:
-            base = stretch.alias("s").join(old.alias("o"), [*_same("s", "o", src), F.col("o.day") == F.col("s.start") - 1])
-            moves = moves.unionByName(base.select(*(F.col(f"s.{c}") for c in src), F.col("start").alias("day"), *(zero.alias(a) for a in self.amounts), *self.totals))
-        values = [*self.amounts, *self.totals]
-        moves = moves.groupBy(*src, "day").agg(*(F.sum(c).alias(c) for c in values))
-        filled = dates.alias("d").join(moves.alias("m"), _same("d", "m", [*src, "day"]), "left").select(*(F.col(f"d.{c}") for c in (*src, "start", "day")), *(F.coalesce(F.col(f"m.{c}"), zero).alias(c) for c in values))
-        run = Window.partitionBy(*src, "start").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-        rows = filled.select(*src, "day", *self.amounts, *(F.sum(c).over(run).alias(c) for c in self.totals), F.lit(version).alias("version"), _block(F.col("day")).alias("block"))
+        filled = dates.alias("d").join(amounts.alias("a"), _same("d", "a", [*src, "day"]), "left").select(*(F.col(f"d.{c}") for c in (*src, "start", "day")), *(F.coalesce(F.col(f"a.{c}"), zero).alias(c) for c in self.amounts))
+        if yesterday is not None:
+            filled = filled.alias("d").join(yesterday.alias("y"), _same("d", "y", [*src, "start", "day"]), "left").select("d.*", *(F.col(f"y.{c}") for c in self.totals))
+        else:
+            filled = filled.select("*", *(zero.alias(c) for c in self.totals))
+        # from yesterday's totals on: what arrives, less what expires
+        w = Window.partitionBy(*src, "start").orderBy("day")
+        step = {f"{a}_{k}": F.when(F.col("day") >= F.col("start"), F.col(a) - F.lag(a, k).over(w)).otherwise(F.coalesce(f"{a}_{k}", zero)) for a in self.amounts for k in self.spans}
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        rows = filled.withColumns(step).select(*src, "start", "day", *self.amounts, *(F.sum(c).over(run).alias(c) for c in self.totals)).where("day >= start")
+        rows = rows.select(*src, "day", *self.amounts, *self.totals, F.lit(version).alias("version"), _block(F.col("day")).alias("block"))
         rows.write.mode("append").partitionBy("block").parquet(f"{self.path}/totals")
         self.version = version
         return version
