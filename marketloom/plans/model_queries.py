@@ -191,6 +191,27 @@ def next_bars(spark, d):
     return n.withColumn("cutoff", calendar.information_cutoff(first, F.col("origin")))
 
 
+_LAGGED = ", ".join(f"lag({c}) OVER w AS {c}" for c in features.GAP_OWN)
+_TRAINING = f"""WITH fr AS ({_FRAME}),
+l AS (SELECT symbol, feed_id, ts, is_session_open, open, lag(close) OVER w AS pc, {_LAGGED} FROM fr WINDOW w AS (PARTITION BY symbol, feed_id ORDER BY ts)),
+e AS (SELECT *, ts - INTERVAL 1 MINUTE AS event_time FROM l WHERE is_session_open > 0.5 AND pc > 0 AND open > 0)
+SELECT symbol, feed_id, ts, round(ln(open / pc), 8) AS target, {", ".join(f"coalesce({c}, 0.0) AS {c}" for c in features.GAP_OWN)}, {_ASOF} FROM e"""
+
+
+@query("flt11_training_rows", _TRAINING)
+def training(spark, d):
+    t = gap_model.training_rows(feature_frame(spark, d), table(spark, d, "market_returns"))
+    return t.select(*KEY, F.round("target", 8).alias("target"), *(F.round(c, _FRAME_DIGITS).alias(c) for c in features.GAP_OWN), *features.GAP_MARKET.values())
+
+
+@query("win21_mdl07_first_steps", f"""WITH {BARS}, r AS (SELECT *, coalesce(ln(close) - lag(ln(close)) OVER w, 0.0) AS x, row_number() OVER w AS i FROM bars WINDOW w AS (PARTITION BY symbol, feed_id ORDER BY ts))
+SELECT symbol, feed_id, ts, round(avg(x) OVER (PARTITION BY symbol, feed_id ORDER BY ts ROWS BETWEEN 119 PRECEDING AND CURRENT ROW), 9) AS first_step FROM r QUALIFY i >= 512""")
+def first_steps(spark, d):
+    """The stand-in forecaster over every whole context of 512 bars: the first of its 24 steps."""
+    got = forecast.sliding(feature_frame(spark, d), forecast.drift)
+    return got.select(*KEY, F.round(F.get("returns", F.lit(0)), 9).alias("first_step"))
+
+
 @query("flt11_mdl04_gap_models")
 def gap_models(spark, d):
     return gap_model.fit(gap_model.training_rows(settled_features(spark, d), table(spark, d, "market_returns")))
