@@ -9,7 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from marketloom.operators import features, forecast, predict
-from marketloom.session import checkpoint_dir
 from marketloom.sources.prices import price_frame, session_stamps
 
 NO_RETURNS = "series_name string, trade_date date, known_at timestamp, obs_id long, day_return double"
@@ -67,7 +66,6 @@ def predict_direction(
     Without stamps weekday session hours up to ``end`` (now) are made up. ``cutoff`` forecasts from
     the last bar strictly before it. For many sources at once use ``operators.predict.predictions``.
     """
-    checkpoint_dir(spark)
     closes = list(prices)
     if timestamps is None and end is not None:
         timestamps = session_stamps(len(closes), end)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.market import signed_strength
 from marketloom.operators import calendar, features, forecast, gap_model, series
+from marketloom.session import written
 
 SRC = series.SOURCE
 KEY = [*SRC, "ts"]
@@ -39,7 +40,7 @@ def outlooks(f: DataFrame, b: DataFrame, returns: DataFrame, last: int = feature
     if last:
         closes = features.close_origins(f, last, context).join(at, SRC).where(F.col("i") < F.col("origin_i"))
         o = full.unionByName(closes.withColumn("main", F.lit(False)))
-    o = o.select(*KEY, "i", "n", "main", F.col("close").alias("origin_price"), "is_session_close", *features.GAP_OWN).checkpoint()
+    o = written(o.select(*KEY, "i", "n", "main", F.col("close").alias("origin_price"), "is_session_close", *features.GAP_OWN), "origins")
     marked = f.join(o.select(*KEY, F.lit(True).alias("_at")), KEY, "left").fillna(False, subset=["_at"])
     p = forecast.steps(forecast.sliding(marked, forecaster, context, origins="_at"), KEY)
     ahead = calendar.next_bars(o.select(*KEY, F.col("ts").alias("origin")).join(calendar.session_shape_at(b, o), KEY).drop("ts"), 1, [*SRC, "origin"])
@@ -54,7 +55,7 @@ def outlooks(f: DataFrame, b: DataFrame, returns: DataFrame, last: int = feature
 
 def rolling(f: DataFrame, b: DataFrame, returns: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
     """(the paths from each source's origin, the bands of its own earlier session closes)."""
-    p = outlooks(f, b, returns, **how).checkpoint()
+    p = written(outlooks(f, b, returns, **how), "outlooks")
     return p.where("main").drop("actual_price", "main"), forecast.rolling_bands(p.where("NOT main"))
 
 
@@ -87,11 +88,11 @@ def predictions(b: DataFrame, returns: DataFrame, f: DataFrame | None = None, cu
     """
     if f is None:
         nifty = gap_model.with_market(b.select(*KEY), "ts", returns, known=False, series={"nifty": "nifty_log_return"})
-        f = features.build(b, nifty).checkpoint()
+        f = written(features.build(b, nifty), "features")
     if calibrate:
         p, bands = rolling(f, b, returns, context=context, forecaster=forecaster, cutoff=cutoff, missing=missing)
         p = forecast.apply_calibration(p.withColumnRenamed("ts", "origin"), bands, SRC)
     else:
         p = outlooks(f, b, returns, 0, context, forecaster, cutoff, missing).drop("main").withColumnRenamed("ts", "origin")
-    p = stamped(p.checkpoint(), b)
+    p = stamped(written(p, "paths"), b)
     return signal_rows(p), step_rows(p), p

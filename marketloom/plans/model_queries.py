@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketloom.operators import calendar, chunks, features, forecast, gap_model, predict, series
 from marketloom.plans.registry import ORACLES, query
 from marketloom.plans.series_queries import BARS, EWM, KEY, MASKS, asof_daily, bars
-from marketloom.session import checkpoint_dir, table, work_dir
+from marketloom.session import table, work_dir, written
 
 SRC = series.SOURCE
 _PATHS = f"""{BARS.replace("open, close, volume FROM", "open, close, volume, CASE WHEN isfinite(next_hour_return) THEN next_hour_return ELSE 0.0 END AS r FROM")},
@@ -118,8 +118,7 @@ def feature_frame(spark, d):
 
 def settled_features(spark, d):
     """The feature frame, written once where several branches read it."""
-    checkpoint_dir(spark)
-    return feature_frame(spark, d).checkpoint()
+    return written(feature_frame(spark, d), "features")
 
 
 def _unrounded(sql: str) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketloom import api
 from marketloom.operators import calendar, features, forecast, gap_model, predict
 from marketloom.plans import model_queries
+from marketloom.session import written
 
 CONTEXT, LAST = 60, 6
 SRC = ["symbol", "feed_id"]
@@ -32,8 +33,7 @@ def tables(spark):
         [(s, dt.date(2024, 1, 1) + dt.timedelta(days=k), dt.datetime(2024, 1, 1, 18) + dt.timedelta(days=k), k, float(r.normal(0, 0.01))) for s in features.GAP_MARKET for k in range(110)],
         "series_name string, trade_date date, known_at timestamp, obs_id long, day_return double",
     )
-    model_queries.checkpoint_dir(spark)
-    f = features.build(bars).checkpoint()
+    f = written(features.build(bars), "features")
     return bars, returns, f
 
 
@@ -58,7 +58,7 @@ def brute(f, training, market, last):
 
 def test_bands_come_from_the_sources_own_earlier_closes(spark, tables):
     bars, returns, f = tables
-    got = predict.outlooks(f, bars, returns, LAST, CONTEXT).checkpoint()
+    got = predict.outlooks(f, bars, returns, LAST, CONTEXT).cache()
     pf, training = f.toPandas(), gap_model.training_rows(f, returns).toPandas()
     # what was known a minute before the next bar, by the shape of the bars up to each origin
     market = {}
