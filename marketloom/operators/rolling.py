@@ -116,7 +116,7 @@ class DailyState:
             span = span.unionByName(kept.select(*src, F.lit(None).cast("int").alias("was_first"), F.lit(None).cast("int").alias("was_last"), "first", "last", F.lit(False).alias("touched")))
         edge = f"{self.path}/sources/{version:06d}"
         span.write.parquet(edge)
-        span = self.spark.read.parquet(edge)
+        span = self.spark.read.schema(span.schema).parquet(edge)
 
         # intervals of affected dates, merged into stretches: the windows of changed days, and new dates
         here = span.where("touched")
@@ -136,7 +136,7 @@ class DailyState:
         stretch = stretch.alias("x").join(here.alias("h"), _same("x", "h", src)).select(*(F.col(f"x.{c}") for c in src), "start", F.least("stop", "last").alias("stop"))
         if self.version:  # one row per stretch, read three times
             stretch.write.parquet(f"{self.path}/stretches/{version:06d}")
-            stretch = self.spark.read.parquet(f"{self.path}/stretches/{version:06d}")
+            stretch = self.spark.read.schema(stretch.schema).parquet(f"{self.path}/stretches/{version:06d}")
             needed = stretch.select(F.explode(F.sequence(_block(F.col("start") - (reach + 1)), _block(F.col("stop"))))).distinct()
         # the dates of each stretch and those whose amounts expire in it, without gaps
         dates = stretch.select(*src, "start", F.explode(F.sequence(F.col("start") - reach, F.col("stop"))).alias("day"))
