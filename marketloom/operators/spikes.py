@@ -23,8 +23,8 @@ Scale: sources are cut into chunks by the rank of the reading, each with a halo
 from its neighbours, so a source with a third of all rows is many tasks; ranks come from
 per-(source, period) counts, never from one window over a whole source. Chunks reach Python one
 after the other and only those of the current batch and the open one are held, however many a
-task has. Source medians are mergeable sketches (``percentile_approx``, exact up to ``accuracy``
-distinct readings).
+task has. Source medians are those of mergeable sketches (``percentile_approx``), exact up to
+``accuracy / 2`` readings of a source; the mean of the two middle ones for an even number.
 
 Defined results: null and NaN are missing and never flagged, nor do they break a run; each
 instant counts once, with the reading loaded first; other rows of the instant are flagged with it
@@ -191,7 +191,7 @@ def readings(df: DataFrame, table_name: str, fields: dict[str, Rule], key: list[
     return long.where(F.col("at_us").isNotNull() & F.col("c.x").isNotNull() & ~F.isnan("c.x")).select(F.lit(table_name).alias("table_name"), "c.field_name", "k1", "k2", "at_us", "load_seq", "c.x")
 
 
-def flag(long: DataFrame, rules: dict[tuple[str, str], Rule], chunk: int = CHUNK, period_days: int = 64, accuracy: int = 10_000) -> DataFrame:
+def flag(long: DataFrame, rules: dict[tuple[str, str], Rule], chunk: int = CHUNK, period_days: int = 64, accuracy: int = 200_000) -> DataFrame:
     """(table_name, field_name, load_seq) of the rows whose reading its source can't have produced."""
     kinds = sorted(rules)
     code = F.expr("CASE " + " ".join(f"WHEN table_name = '{t}' AND field_name = '{f}' THEN {i}" for i, (t, f) in enumerate(kinds)) + " END")
@@ -224,7 +224,8 @@ def flag(long: DataFrame, rules: dict[tuple[str, str], Rule], chunk: int = CHUNK
     edges = periods.where("first_u IS NOT NULL AND before_u IS NOT NULL").select(*src, F.col("first_u").alias("u"), F.col("before_u").alias("pu"))
     edges = edges.select(*src, "u", "pu", F.when(is_level, move).alias("move"), F.lit(0).alias("one"))
     figures = inner.unionByName(edges).groupBy(*src).agg(
-        F.percentile_approx(F.when(F.col("move") > 0, F.col("move")), 0.5, accuracy).alias("scale"),
+        # the lower of the middle two, and by symmetry the upper one
+        ((F.percentile_approx(F.when(F.col("move") > 0, F.col("move")), 0.5, accuracy) - F.percentile_approx(F.when(F.col("move") > 0, -F.col("move")), 0.5, accuracy)) / 2).alias("scale"),
         F.count_if(F.col("u") == F.col("pu")).alias("reps"),
         F.sum("one").alias("n"),
     )

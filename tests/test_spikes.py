@@ -40,7 +40,7 @@ def brute(rows):
                 moves = [abs(b / a - 1) for a, b in zip(xs, xs[1:]) if a != b]
             else:
                 moves = [x for x in xs if x]
-            scale = sorted(moves)[(len(moves) - 1) // 2] if moves else math.inf
+            scale = median(moves) if moves else math.inf
             reps = [i > 0 and judged[i] == judged[i - 1] for i in range(len(judged))]
             quiet = sum(reps) / len(reps) >= rule.most_repeats
             run_of, i = {}, 0
@@ -214,3 +214,12 @@ def test_memory_is_that_of_a_chunk(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert 0 < seen.value <= 500 + 150 + 2 * spikes.HALO
+
+
+def test_limits_turn_on_the_mean_of_the_middle_two(spark):
+    """An even number of amounts, one of them between 25 times the lower and 25 times the true median."""
+    rows = [["s", t, t + 1, 5.0, v] for t, v in enumerate([1.0] * 10 + [3.0] * 9 + [40.0])]
+    assert median([r[4] for r in rows]) == 2.0
+    assert run(spark, rows, 4096) == brute(rows) == set()
+    rows[-1][4] = 51.0
+    assert run(spark, rows, 4096) == brute(rows) == {("p", "volume", 20)}
