@@ -28,8 +28,9 @@ PERIOD_DAYS = 64
 def ranked(df: DataFrame, source: list[str], ts: str = "ts", days: int = PERIOD_DAYS) -> DataFrame:
     """df with i, the place of each row in its source by time from 0, and n, the rows of its source."""
     by_period = Window.partitionBy(*source, "_p").orderBy(ts)
-    placed = df.withColumn("_p", F.floor(F.unix_micros(ts) / F.lit(days * 86_400_000_000)).cast("int")).withColumn("_k", F.row_number().over(by_period))
-    counts = placed.groupBy(*source, "_p").agg(F.max("_k").alias("_c"))
+    cut = df.withColumn("_p", F.floor(F.unix_micros(ts) / F.lit(days * 86_400_000_000)).cast("int"))
+    placed = cut.withColumn("_k", F.row_number().over(by_period))
+    counts = cut.groupBy(*source, "_p").agg(F.count(F.lit(1)).alias("_c"))
     before = F.sum("_c").over(Window.partitionBy(*source).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.select(*source, "_p", F.coalesce(before, F.lit(0)).alias("_b"), F.sum("_c").over(Window.partitionBy(*source)).alias("n"))
     on = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*source, "_p")]

@@ -22,17 +22,17 @@ EXTRA = ["open", "close", "is_session_open", "is_session_close", "prev_day_retur
 def build(bars: DataFrame, nifty: DataFrame | None = None, source: list[str] = series.SOURCE) -> DataFrame:
     """(source..., ts, i, n, features...): i counts a source's bars from 0, n is their number.
 
-    ``nifty`` is (source..., ts, nifty_log_return), as joined as-of beforehand; without it the
-    column is 0. The first bar stays, with a return of 0.
+    ``nifty`` is (source..., ts, nifty_log_return), as joined as-of beforehand; bars may also carry
+    the column. Without either it is 0. The first bar stays, with a return of 0.
     """
-    marked = series.session_gaps(bars, source)
-    sized = marked.join(series.bars_per_day(bars, source), source).withColumn("rsi_length", F.col("bars") * 14)
     if nifty is not None:
-        sized = sized.join(nifty, [*source, "ts"], "left")
-    else:
-        sized = sized.withColumn("nifty_log_return", F.lit(0.0))
+        bars = bars.join(nifty, [*source, "ts"], "left")
+    elif "nifty_log_return" not in bars.columns:
+        bars = bars.withColumn("nifty_log_return", F.lit(0.0))
+    bars = written(bars.select(*source, "ts", "open", "close", "volume", "nifty_log_return"), "bars")  # read several times
+    sized = series.session_gaps(bars, source).join(series.bars_per_day(bars, source), source).withColumn("rsi_length", F.col("bars") * 14)
     keep = [*source, "ts", "bars", "rsi_length", "open", "close", "volume", "is_open", "is_close", "prev_day_return", "last_gap", "is_weekend_gap", "hours_since", "nifty_log_return"]
-    means = chunks.exponential_means(chunks.ranked(sized.select(*keep), source), source, settle=written)
+    means = chunks.exponential_means(chunks.ranked(written(sized.select(*keep), "sessions"), source), source, settle=written)
     x = chunks.sized_windows(means, source, zscores=("macd_hist",))
     out = x.select(
         *source,

@@ -87,8 +87,7 @@ def predictions(b: DataFrame, returns: DataFrame, f: DataFrame | None = None, cu
     With ``calibrate`` each source's path is shifted and banded by its own earlier closes.
     """
     if f is None:
-        nifty = gap_model.with_market(b.select(*KEY), "ts", returns, known=False, series={"nifty": "nifty_log_return"})
-        f = written(features.build(b, nifty), "features")
+        f = written(features.build(gap_model.with_market(b, "ts", returns, known=False, series={"nifty": "nifty_log_return"})), "features")
     if calibrate:
         p, bands = rolling(f, b, returns, context=context, forecaster=forecaster, cutoff=cutoff, missing=missing)
         p = forecast.apply_calibration(p.withColumnRenamed("ts", "origin"), bands, SRC)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marketloom.operators import calendar, chunks, features, forecast, gap_model, predict, series
 from marketloom.plans.registry import ORACLES, query
-from marketloom.plans.series_queries import BARS, EWM, KEY, MASKS, asof_daily, bars
+from marketloom.plans.series_queries import BARS, EWM, KEY, MASKS, bars, with_nifty
 from marketloom.session import table, work_dir, written
 
 SRC = series.SOURCE
@@ -113,7 +113,7 @@ def five_way(spark, d):
 
 
 def feature_frame(spark, d):
-    return features.build(bars(spark, d), asof_daily(spark, d))
+    return features.build(with_nifty(spark, d, bars(spark, d)))
 
 
 def settled_features(spark, d):

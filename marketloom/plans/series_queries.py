@@ -165,9 +165,14 @@ _DAILY = "daily AS (SELECT series_name, CAST(trade_date AS TIMESTAMP) AS day, ar
 SELECT symbol, feed_id, ts, coalesce(v, 0.0) AS nifty_log_return
 FROM bars ASOF LEFT JOIN (SELECT epoch_us(day) AS us, v FROM daily WHERE series_name = 'nifty') n ON epoch_us(bars.ts) >= n.us""")
 def asof_daily(spark, d):
+    return with_nifty(spark, d, bars(spark, d).select(*KEY))
+
+
+def with_nifty(spark, d, rows):
+    """rows with the nifty return of their day or the last one before; 0 where there is none."""
     returns = asof.daily_series(table(spark, d, "market_returns")).select("series_name", "trade_date", "day_return", F.lit(0).alias("obs_id"))
     # a union with one series would sort all bars in one task; dyadic nodes leave them where they are
-    return gap_model.with_market(bars(spark, d).select(*KEY), "ts", returns, known=False, series={"nifty": "nifty_log_return"})
+    return gap_model.with_market(rows, "ts", returns, known=False, series={"nifty": "nifty_log_return"})
 
 
 @query("join07_previous_bar", f"WITH {BARS}, {MASKS} SELECT symbol, feed_id, ts, round(ln(open / pc), 8) AS target FROM (SELECT *, lag(close) OVER ({W}) AS pc FROM masks) WHERE is_open AND pc IS NOT NULL")
