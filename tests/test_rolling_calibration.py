@@ -38,7 +38,7 @@ def tables(spark):
 
 
 def brute(f, training, market, last):
-    """Origin by origin, as the reference's loop does: {(symbol, origin i): [log return from the origin, by horizon]}."""
+    """Origin by origin in a loop: {(symbol, origin i): [log return from the origin, by horizon]}."""
     out = {}
     for symbol, g in f.groupby("symbol"):
         g, t = g.sort_values("i").reset_index(drop=True), training[training.symbol == symbol].sort_values("ts")
